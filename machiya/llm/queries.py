@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from machiya.functions.quantities import AREA_M2, TRADE_YEN
 from machiya.llm.components import listing_groups
+from machiya.llm.leakage import leaked_passages
+from machiya.llm.mixing import mix
 from machiya.llm.percentiles import merge_counts, percentiles, value_counts
+from machiya.llm.truncation import length_limits, truncated_texts
 from machiya.operators.quantities import quantity
 from machiya.sources.tables import table
 
@@ -48,6 +51,54 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return wide.where("p90 >= 3 * median").select("_cityName", "_period", "fieldName")
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaked_passages(table(spark, folder, "documents"), table(spark, folder, "eval_items")).select("doc_id", "item_id")
+
+
+def p8_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Per test item: in how many documents it leaked, and the largest share held by one."""
+    leaks = leaked_passages(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return leaks.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("share").alias("largestShare"))
+
+
+def _mix(spark: SparkSession, folder: str):
+    return mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _mix(spark, folder)[0].where(~F.col("reachable")).select("source")
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and reached shares per source."""
+    return _mix(spark, folder)[0]
+
+
+def p9_mixed_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The mixed corpus as token ranges of texts per slot of each shard."""
+    _, slots, pieces = _mix(spark, folder)
+    return slots.where("block is not null").join(pieces, ["source", "block"])
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return truncated_texts(table(spark, folder, "documents")).select("doc_id")
+
+
+def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Per source: texts, cut texts, and how many of them at a length limit."""
+    docs = table(spark, folder, "documents")
+    cut = truncated_texts(docs).groupBy("source").agg(F.count("*").alias("cutTexts"), F.count_if("at_limit").alias("cutAtLimit"))
+    rates = docs.where("text is not null").groupBy(F.col("source").alias("s")).agg(F.count("*").alias("texts")).join(cut, F.col("s").eqNullSafe(F.col("source")), "left")
+    return rates.select(F.col("s").alias("source"), "texts", F.coalesce("cutTexts", F.lit(0)).alias("cutTexts"), F.coalesce("cutAtLimit", F.lit(0)).alias("cutAtLimit"), (F.coalesce("cutTexts", F.lit(0)) / F.col("texts")).alias("rate"))
+
+
+def p10_limits(spark: SparkSession, folder: str) -> DataFrame:
+    """Lengths at which the texts of a source stop too often."""
+    whole = F.regexp_replace("text", "\ufffd+$", "")
+    docs = table(spark, folder, "documents").where("text is not null").select("source", F.xxhash64("text").alias("digest"), F.length(whole).alias("chars"), F.octet_length(whole).alias("bytes"))
+    return length_limits(docs.dropDuplicates(["source", "digest"]), {"chars": F.col("chars"), "bytes": F.col("bytes")})
+
+
 _LINKS = """
 links AS (SELECT propertyIdA a, propertyIdB b FROM duplicate_review_candidates WHERE similarityScore >= 0.72 AND propertyIdA <> propertyIdB
           UNION SELECT propertyIdB, propertyIdA FROM duplicate_review_candidates WHERE similarityScore >= 0.72 AND propertyIdA <> propertyIdB),
@@ -63,7 +114,9 @@ numbers AS (
   FROM cells)
 """
 
-QUERIES = {"p1_found": p1_found, "p5_percentiles": p5_percentiles, "p5_merged_loads": p5_merged_loads, "p5_found": p5_found}
+QUERIES = {"p1_found": p1_found, "p5_percentiles": p5_percentiles, "p5_merged_loads": p5_merged_loads, "p5_found": p5_found,
+    "p8_found": p8_found, "p8_leaked_items": p8_leaked_items, "p9_found": p9_found, "p9_shares": p9_shares, "p9_mixed_texts": p9_mixed_texts,
+    "p10_found": p10_found, "p10_rates": p10_rates, "p10_limits": p10_limits}
 
 SQL = {
     "p1_found": f"WITH RECURSIVE {_LINKS} SELECT min(other) AS groupId, node AS propertyId FROM reach GROUP BY node",
