@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from machiya.functions.quantities import AREA_M2, TRADE_YEN
-from machiya.llm.components import listing_groups
+from machiya.llm.addresses import gazetteer, located_addresses, located_records, parsed_addresses, same_house_number
+from machiya.llm.components import linking_rows, listing_groups
 from machiya.llm.leakage import leaked_passages
+from machiya.llm.matching import BELIEF, candidates, house_clusters, house_values, match_probabilities
 from machiya.llm.mixing import mix
 from machiya.llm.percentiles import merge_counts, percentiles, value_counts
+from machiya.llm.survivors import completeness, current_values, surviving_fields, value_levels
 from machiya.llm.truncation import length_limits, truncated_texts
 from machiya.operators.quantities import quantity
+from machiya.plans.durable import write_table
 from machiya.sources.tables import table
 
 SHARES = (0.1, 0.25, 0.5, 0.75, 0.9)
@@ -21,6 +25,31 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return listing_groups(table(spark, folder, "duplicate_review_candidates"))
 
 
+SURVIVOR_FIELDS = ["address", "landAreaM2", "buildingAreaM2", "constructionYear", "layout", "priceYen"]
+
+
+def _members(spark: SparkSession, folder: str) -> DataFrame:
+    """Group members that are in the listings, with the reading of the latest snapshot that has them."""
+    pairs = table(spark, folder, "duplicate_review_candidates")
+    groups = listing_groups(pairs)
+    reading = F.max(F.struct("snapshotSeq", F.col("lastSeenAt").isNotNull().alias("seen"), "lastSeenAt", *SURVIVOR_FIELDS, "status")).alias("r")
+    last = table(spark, folder, "discovered_listings").where("propertyId is not null").groupBy("propertyId").agg(reading).select("propertyId", "r.*")
+    return groups.join(last, "propertyId").join(completeness(linking_rows(pairs)), "propertyId", "left")
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return surviving_fields(_members(spark, folder), "groupId", "propertyId", SURVIVOR_FIELDS, "completeness", "lastSeenAt")
+
+
+def p4_current_status(spark: SparkSession, folder: str) -> DataFrame:
+    """The current status of each group; where members have no time, by the order in which statuses follow one another."""
+    clean = F.lower(F.regexp_replace("status", r"^[\s　]+|[\s　]+$", ""))
+    history = table(spark, folder, "discovered_listings").select("propertyId", "lastSeenAt", clean.alias("status"))
+    levels = value_levels(history, "propertyId", "status", "lastSeenAt")
+    members = _members(spark, folder).withColumn("status", clean)
+    return current_values(members, "groupId", "propertyId", "status", "lastSeenAt", levels)
+
+
 def _sale_counts(spark: SparkSession, folder: str, *groups: str, relative_error: float = 0.0) -> DataFrame:
     """Value counts of TradePrice and Area per group; each distinct text is parsed once per group."""
     sales = table(spark, folder, "transactions")
@@ -51,6 +80,57 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return wide.where("p90 >= 3 * median").select("_cityName", "_period", "fieldName")
 
 
+ADDRESSES = ["address", "fullAddress", "propertyAddress"]
+
+
+def _records(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Listings and hand-kept records as (id, place, number, land, building, year), one row per place and number."""
+    listings = table(spark, folder, "discovered_listings")
+    kept = table(spark, folder, "source_properties")
+    positive = lambda c: F.when((c > 0) & ~F.isnan(c), c)
+    # only price, status and times vary between the snapshots of a listing
+    one = listings.where("propertyId is not null").groupBy("propertyId").agg(
+        *[F.max(a).alias(a) for a in ADDRESSES],
+        F.max(positive(F.col("landAreaM2"))).alias("land"),
+        F.max(positive(F.col("buildingAreaM2"))).alias("building"),
+        F.max(F.when(F.col("constructionYear") > 0, F.col("constructionYear"))).cast("double").alias("year"),
+    )
+    two = kept.where("id is not null").select(F.col("id"), "address", "land", positive(F.col("building")).alias("building"), F.when(F.col("year") > 0, F.col("year")).cast("double").alias("year")).distinct()
+    two = two.withColumn("land", quantity(F.col("land"), AREA_M2))
+    one, two = write_table(one, "listings").df, write_table(two, "kept").df
+    texts = one.select(F.explode(F.array(*ADDRESSES)).alias("text")).unionByName(two.select(F.col("address").alias("text")))
+    parsed = write_table(parsed_addresses(texts, "text"), "addresses").df
+    places = write_table(gazetteer(parsed), "gazetteer").df
+    located = write_table(located_addresses(texts, "text", places, parsed), "located").df
+    first = F.explode_outer("numbers").alias("number")
+    at = located_records(one, "propertyId", ADDRESSES, located).select(F.col("propertyId").alias("id"), "place", "district", first)
+    left = one.select(F.col("propertyId").alias("id"), "land", "building", "year").join(at, "id")
+    # an address of a hand-kept record may name several places that tie: all of them are alternatives
+    where = two.select("id", F.col("address").alias("text")).join(located, "text").select("id", "place", "number", "district").distinct()
+    return left, two.select("id", "land", "building", "year").join(where, "id")
+
+
+def p2_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """(propertyId, id, confidence): listings and hand-kept records of the same house."""
+    left, right = (write_table(x, "records").df for x in _records(spark, folder))
+    listed = write_table(house_clusters(left), "houses").df
+    kept = write_table(house_clusters(right), "houses").df
+    houses, keepers = (write_table(house_values(x), "values").df for x in (listed, kept))
+    pairs = write_table(candidates(houses, keepers), "pairs").df
+    matched = match_probabilities(pairs).where(F.col("probability") >= BELIEF)
+    out = matched.join(listed.select(F.col("house").alias("lid"), F.col("id").alias("propertyId")).distinct(), "lid")
+    out = out.join(kept.select(F.col("house").alias("rid"), "id").distinct(), "rid")
+    return out.groupBy("propertyId", "id").agg(F.max("probability").alias("confidence"))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p2_matches(spark, folder).select("propertyId", "id")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return same_house_number(table(spark, folder, "discovered_listings"), "propertyId", ADDRESSES)
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaked_passages(table(spark, folder, "documents"), table(spark, folder, "eval_items")).select("doc_id", "item_id")
 
@@ -114,12 +194,28 @@ numbers AS (
   FROM cells)
 """
 
-QUERIES = {"p1_found": p1_found, "p5_percentiles": p5_percentiles, "p5_merged_loads": p5_merged_loads, "p5_found": p5_found,
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_matches": p2_matches, "p6_found": p6_found, "p4_found": p4_found, "p4_current_status": p4_current_status, "p5_percentiles": p5_percentiles, "p5_merged_loads": p5_merged_loads, "p5_found": p5_found,
     "p8_found": p8_found, "p8_leaked_items": p8_leaked_items, "p9_found": p9_found, "p9_shares": p9_shares, "p9_mixed_texts": p9_mixed_texts,
     "p10_found": p10_found, "p10_rates": p10_rates, "p10_limits": p10_limits}
 
 SQL = {
     "p1_found": f"WITH RECURSIVE {_LINKS} SELECT min(other) AS groupId, node AS propertyId FROM reach GROUP BY node",
+    "p4_found": f"""WITH RECURSIVE {_LINKS},
+        grp AS (SELECT min(other) AS groupId, node AS propertyId FROM reach GROUP BY node),
+        comp AS (SELECT id AS propertyId, max(coalesce(c, 0)) AS c FROM (
+            SELECT propertyIdA id, detailCompletenessA c FROM duplicate_review_candidates WHERE similarityScore >= 0.72 AND propertyIdA <> propertyIdB
+            UNION ALL SELECT propertyIdB, detailCompletenessB FROM duplicate_review_candidates WHERE similarityScore >= 0.72 AND propertyIdA <> propertyIdB) GROUP BY id),
+        member AS (SELECT g.groupId, l.*, row_number() OVER (PARTITION BY g.groupId ORDER BY k.c DESC, l.lastSeenAt DESC NULLS LAST, l.propertyId) AS rk
+            FROM grp g JOIN comp k USING (propertyId)
+            JOIN (SELECT * FROM discovered_listings QUALIFY row_number() OVER (PARTITION BY propertyId ORDER BY snapshotSeq DESC, lastSeenAt DESC NULLS LAST) = 1) l USING (propertyId)),
+        cell AS (SELECT groupId, propertyId, rk, 'record' AS fieldName, true AS ok FROM member
+            UNION ALL SELECT groupId, propertyId, rk, 'address', trim(address) NOT IN ('', '-', '不明', '0') FROM member
+            UNION ALL SELECT groupId, propertyId, rk, 'landAreaM2', landAreaM2 <> 0 FROM member
+            UNION ALL SELECT groupId, propertyId, rk, 'buildingAreaM2', buildingAreaM2 <> 0 FROM member
+            UNION ALL SELECT groupId, propertyId, rk, 'constructionYear', constructionYear <> 0 FROM member
+            UNION ALL SELECT groupId, propertyId, rk, 'layout', trim(layout) NOT IN ('', '-', '不明', '0') FROM member
+            UNION ALL SELECT groupId, propertyId, rk, 'priceYen', priceYen <> 0 FROM member)
+        SELECT groupId, fieldName, arg_min(propertyId, rk) AS propertyId FROM cell WHERE ok GROUP BY groupId, fieldName""",
     "p5_percentiles": f"""WITH {_NUMBERS}
         SELECT _cityName, _period, fieldName, rows, unnest([0.1, 0.25, 0.5, 0.75, 0.9]::DOUBLE[]) AS share, unnest(ps) AS percentile
         FROM (SELECT _cityName, _period, fieldName, count(*) AS rows, quantile_cont(x, [0.1, 0.25, 0.5, 0.75, 0.9]) AS ps
