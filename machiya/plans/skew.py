@@ -28,14 +28,16 @@ def lookup_join(
     how: str = "left",
     hot_share: float = HOT_SHARE,
     hot_rows: int = HOT_ROWS,
+    hot: list | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, in which ``right_key`` is unique, without sending a hot key to one task.
 
     Rows of a hot left key meet their single right row by a broadcast of at most ``1 / hot_share`` rows; all others go
-    through an ordinary shuffled join.  ``left`` should be a written table, since its keys are counted first.  Column
-    names of both sides must differ.  Null keys match nothing.
+    through an ordinary shuffled join.  ``left`` should be a written table, since its keys are counted first; a loop may
+    count them once and pass them as ``hot``.  Column names of both sides must differ.  Null keys match nothing.
     """
-    hot = hot_keys(left, left_key, hot_share, hot_rows)
+    if hot is None:
+        hot = hot_keys(left, left_key, hot_share, hot_rows)
     if not hot:
         return left.join(right, F.col(left_key) == F.col(right_key), how)
     is_hot = F.coalesce(F.col(left_key).isin(hot), F.lit(False))
