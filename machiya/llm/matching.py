@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from machiya.plans.durable import Table, write_table
+from machiya.plans.durable import write_table
+from machiya.plans.skew import hot_keys, lookup_join
 
 #: Log-likelihood ratios of agreement levels: (largest difference, weight); areas differ relatively, years absolutely.
 AREA_LEVELS = ((0.002, 4.0), (0.013, 3.0), (0.035, 0.5), (0.08, -3.0))
@@ -72,12 +73,14 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     return found.groupBy("lid", "rid").agg((F.max("score") + F.lit(PRIOR)).alias("score")).where(F.col("score") >= FLOOR)
 
 
-def _others(messages: Column, own: Column, by: str) -> Column:
-    """log(1 + sum of exp) over the messages of a node without one's own: the weight of matching elsewhere or nowhere."""
-    top = F.max(messages).over(Window.partitionBy(by))
-    total = F.sum(F.exp(messages - top)).over(Window.partitionBy(by))
-    rest = F.greatest(total - F.exp(own - top), F.lit(0.0))
-    return F.log(F.exp(-top) + rest) + top
+def _factor(state: DataFrame, side: str, message: Column, hot: list) -> DataFrame:
+    """Add ``other``: log(1 + summed odds of the side's other candidates), the weight of matching elsewhere or nowhere.
+
+    The sums are partial aggregates; a record in very many candidates meets its sum by broadcast.
+    """
+    sums = state.groupBy(F.col(side).alias("_id")).agg(F.sum(F.exp(message)).alias("_sum"))
+    joined = lookup_join(state, sums, side, "_id", "inner", hot=hot)
+    return joined.withColumn("other", F.log1p(F.greatest(F.col("_sum") - F.exp(message), F.lit(0.0)))).drop("_id", "_sum")
 
 
 def match_probabilities(pairs: DataFrame) -> DataFrame:
@@ -90,19 +93,15 @@ def match_probabilities(pairs: DataFrame) -> DataFrame:
     no message changes by more than ``SETTLED``, or after ``ROUNDS``.  Each round is a written table.
     """
     state = write_table(pairs.select("lid", "rid", "score", F.lit(0.0).alias("from_l"), F.lit(0.0).alias("from_r"), F.lit(0.0).alias("change")), "messages")
+    hot = {side: hot_keys(state.df, side) for side in ("lid", "rid")}
+    damped = lambda old: F.col("other") * (DAMPING - 1) + F.col(old) * DAMPING
     for _ in range(ROUNDS):
-        to_l = F.col("score") + F.col("from_r")
-        one = state.df.withColumn("new_l", -_others(to_l, to_l, "lid"))
-        mixed_l = F.col("new_l") * (1 - DAMPING) + F.col("from_l") * DAMPING
-        one = one.withColumn("next_l", mixed_l)
-        to_r = F.col("score") + F.col("next_l")
-        two = one.withColumn("new_r", -_others(to_r, to_r, "rid"))
-        mixed_r = F.col("new_r") * (1 - DAMPING) + F.col("from_r") * DAMPING
-        two = two.withColumn("next_r", mixed_r)
+        one = _factor(state.df, "lid", F.col("score") + F.col("from_r"), hot["lid"]).withColumn("next_l", damped("from_l")).drop("other")
+        two = _factor(one, "rid", F.col("score") + F.col("next_l"), hot["rid"]).withColumn("next_r", damped("from_r"))
         change = F.greatest(F.abs(F.col("next_l") - F.col("from_l")), F.abs(F.col("next_r") - F.col("from_r")))
         nxt = write_table(two.select("lid", "rid", "score", F.col("next_l").alias("from_l"), F.col("next_r").alias("from_r"), change.alias("change")), "messages")
         state.drop()
-        state = Table(nxt.df, nxt.path)
+        state = nxt
         if (state.df.agg(F.max("change")).first()[0] or 0.0) <= SETTLED:
             break
     belief = F.col("score") + F.col("from_l") + F.col("from_r")
@@ -118,27 +117,29 @@ def house_clusters(records: DataFrame) -> DataFrame:
     """
     keyed = records.where("number is not null and place is not null")
     spread = 0.035
-    by = Window.partitionBy("place", "number")
-    land = keyed.where("land is not null")
-    before = F.lag("land").over(by.orderBy("land", "id"))
-    begins = F.when(before.isNull() | ((F.col("land") - before) > spread * F.col("land")), 1).otherwise(0)
-    stepped = land.withColumn("step", begins)
-    numbered = stepped.withColumn("no", F.sum("step").over(by.orderBy("land", "id").rowsBetween(Window.unboundedPreceding, 0)))
+    by = Window.partitionBy("place", "number").orderBy("land")
+    # over the distinct areas of a house number, so that many records of one house count once
+    areas = keyed.where("land is not null").select("place", "number", "land").distinct()
+    before = F.lag("land").over(by)
+    stepped = areas.withColumn("step", F.when(before.isNull() | ((F.col("land") - before) > spread * F.col("land")), 1).otherwise(0))
+    steps = stepped.withColumn("no", F.sum("step").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("step")
+    numbered = write_table(keyed.join(steps, ["place", "number", "land"]), "numbered").df
     # houses with the middle of their building areas, for records without land
-    known = numbered.groupBy("place", "number", "no").agg(F.median("building").alias("mid"), F.max("year").alias("mid_year"))
+    known = numbered.groupBy("place", "number", "no").agg(F.percentile_approx("building", 0.5).alias("mid"), F.max("year").alias("mid_year"))
     lacking = keyed.where("land is null")
     joined = lacking.join(known, ["place", "number"], "left")
     gap = F.coalesce(_apart(F.col("building"), F.col("mid")), F.lit(0.03)) + F.coalesce(F.abs(F.col("year") - F.col("mid_year")) * 0.01, F.lit(0.005))
     best = joined.groupBy(*records.columns).agg(F.min(F.struct(gap.alias("gap"), F.col("no"))).alias("b"))
     fits = F.when(F.col("b.gap") <= 0.06, F.col("b.no"))
-    # without a fit, equal whole square metres of the building are one house
+    # without a fit, nearly equal building areas are one house
     placed = best.select(*records.columns, F.coalesce(fits.cast("string"), F.concat(F.lit("b"), F.coalesce(F.round(F.col("building") / 4).cast("string"), F.lit("")))).alias("no"))
-    all_keyed = numbered.select(*records.columns, F.col("no").cast("string").alias("no")).unionByName(placed)
-    named = all_keyed.withColumn("house", F.min("id").over(Window.partitionBy("place", "number", "no"))).drop("no")
-    single = records.where("number is null or place is null").withColumn("house", F.col("id"))
+    members = write_table(numbered.select(*records.columns, F.col("no").cast("string").alias("no")).unionByName(placed), "members").df
+    names = members.groupBy("place", "number", "no").agg(F.min("id").alias("house"))
+    named = members.join(names, ["place", "number", "no"]).select(*records.columns, "house")
+    single = records.where("number is null or place is null").select(*records.columns, F.col("id").alias("house"))
     return named.unionByName(single)
 
 
 def house_values(clustered: DataFrame) -> DataFrame:
     """One row per house and place (id, place, number, district, land, building, year): medians of the records' values."""
-    return clustered.groupBy(F.col("house").alias("id"), "place", "number").agg(F.max("district").alias("district"), F.median("land").alias("land"), F.median("building").alias("building"), F.median("year").alias("year"))
+    return clustered.groupBy(F.col("house").alias("id"), "place", "number").agg(F.max("district").alias("district"), *[F.percentile_approx(c, 0.5).alias(c) for c in ("land", "building", "year")])
