@@ -2,6 +2,6 @@
 
 
 def registry() -> list:
-    from machiya.queries import changes_units, scalars
+    from machiya.queries import changes_units, market, scalars
 
-    return [changes_units, scalars]
+    return [changes_units, scalars, market]
