@@ -65,7 +65,8 @@ _PREFIX, _ROOT, _EXP, _POW = Trie(PREFIXES), Trie(ROOTS), Trie(EXPONENTS), Trie(
 class Field:
     """What a field measures: its dimension and power, the factor of its own unit, and the range values usually lie in.
 
-    ``scales`` are factors that a bare number may be meant in besides the field's own.
+    ``scales`` are factors that a bare number may be meant in besides the field's own; ``grain`` is the amount of which
+    usual values are multiples, 0 if there is none.
     """
 
     dimension: str
@@ -74,10 +75,11 @@ class Field:
     low: float
     high: float
     scales: tuple[float, ...] = ()
+    grain: float = 0.0
 
 
-PRICE_YEN = Field("money", 1, 1.0, 15e6, 250e6, (1e3, 1e4, 1e6))
-PRICE_MAN = Field("money", 1, 1e4, 15e6, 250e6, (1.0, 1e3, 1e6))
+PRICE_YEN = Field("money", 1, 1.0, 15e6, 250e6, (1e3, 1e4, 1e6), 1e5)
+PRICE_MAN = Field("money", 1, 1e4, 15e6, 250e6, (1.0, 1e3, 1e6), 1e5)
 TRADE_YEN = Field("money", 1, 1.0, 1e4, 1e12)
 AREA_M2 = Field("length", 2, 1.0, 1.0, 1e7)
 

@@ -53,7 +53,9 @@ def common_units(df: DataFrame, key: str, texts: Mapping[str, Field]) -> DataFra
 
 
 #: What it costs to assume that a number was recorded in another scale than its field's (natural log of the odds).
-SCALE_COSTS = {1.0: 3.0, 1e3: 4.0, 1e4: 3.0, 1e6: 5.0}
+SCALE_COSTS = {1.0: 3.0, 1e3: 3.5, 1e4: 3.0, 1e6: 6.0}
+#: Cost of an amount that is no multiple of the field's grain.
+GRAIN_COST = 3.0
 #: Gain when two fields of a record then state the same amount, within this relative difference.
 AGREE_GAIN, AGREE_WITHIN = 8.0, 0.10
 
@@ -62,7 +64,8 @@ def common_scales(df: DataFrame, fields: Mapping[str, Field], center: Column, sp
     """Add ``<field>_common``: number columns of one record in their base unit, the scales chosen jointly.
 
     Every assignment of scales to the columns is scored: the log-normal prior of the amount (``center`` and ``spread``
-    of its logarithm), the cost of leaving the field's own scale, and the gain of agreement between columns.  Amounts
+    of its logarithm), whether it is a multiple of the field's grain, the cost of leaving the field's own scale, and the
+    gain of agreement between columns, whose common amount then counts once.  Amounts
     outside the usual range are not admitted; a column without an admitted scale keeps its own.  Null, NaN, zero and
     negative values give null.  Built-in expressions only, no shuffle.
     """
@@ -74,10 +77,12 @@ def common_scales(df: DataFrame, fields: Mapping[str, Field], center: Column, sp
         for scale in (f.own, *f.scales):
             amount = x * scale
             prior = F.pow((F.log(amount) - center) / spread, 2) / 2
+            if f.grain:
+                prior = prior + F.when(F.abs(amount / f.grain - F.round(amount / f.grain)) > 1e-6, GRAIN_COST).otherwise(0.0)
             cost = prior + F.lit(0.0 if scale == f.own else SCALE_COSTS[scale])
-            options.append(F.when((x > 0) & ~F.isnan(x) & amount.between(f.low, f.high), F.struct(cost.alias("cost"), amount.alias("amount"))))
-        options.append(F.when((x > 0) & ~F.isnan(x), F.struct(F.lit(200.0).alias("cost"), (x * f.own).alias("amount"))))
-        options.append(F.when(x.isNull() | F.isnan(x) | (x <= 0), F.struct(F.lit(0.0).alias("cost"), F.lit(None).cast("double").alias("amount"))))
+            options.append(F.when((x > 0) & ~F.isnan(x) & amount.between(f.low, f.high), F.struct(cost.alias("cost"), amount.alias("amount"), prior.alias("prior"))))
+        options.append(F.when((x > 0) & ~F.isnan(x), F.struct(F.lit(200.0).alias("cost"), (x * f.own).alias("amount"), F.lit(0.0).alias("prior"))))
+        options.append(F.when(x.isNull() | F.isnan(x) | (x <= 0), F.struct(F.lit(0.0).alias("cost"), F.lit(None).cast("double").alias("amount"), F.lit(0.0).alias("prior"))))
         return F.array_compact(F.array(*options))
 
     if len(names) == 1:
@@ -90,7 +95,7 @@ def common_scales(df: DataFrame, fields: Mapping[str, Field], center: Column, sp
             candidates(a),
             lambda x: F.transform(
                 candidates(b),
-                lambda y: F.struct((x["cost"] + y["cost"] - F.when(same(x["amount"], y["amount"]), AGREE_GAIN).otherwise(0.0)).alias("cost"), x["amount"].alias("a"), y["amount"].alias("b")),
+                lambda y: F.struct((x["cost"] + y["cost"] - F.when(same(x["amount"], y["amount"]), y["prior"] + AGREE_GAIN).otherwise(0.0)).alias("cost"), x["amount"].alias("a"), y["amount"].alias("b")),
             ),
         )
     )

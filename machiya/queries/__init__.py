@@ -2,6 +2,6 @@
 
 
 def registry() -> list:
-    from machiya.queries import changes_units, market, scalars
+    from machiya.queries import changes_units, extraction, market, scalars, streams
 
-    return [changes_units, scalars, market]
+    return [changes_units, scalars, market, extraction, streams]
