@@ -19,6 +19,8 @@ from machiya.plans.parallel import spread
 VARIANT_RATIO = 4
 #: Partial readings kept per step of the beam search, and places kept per address.
 BEAM, PLACES = 24, 6
+#: Cost of a place that only one address text names: it is as likely a slip of another as a place.
+SINGLE = 1.1
 #: Gazetteer entries sent to the tasks at once; a larger gazetteer is searched in blocks of this size.
 GAZETTEER_BLOCK = 50_000
 #: Share of a town's addresses with a 丁目 from which its house numbers have three parts.
@@ -81,7 +83,7 @@ def split_address(text: str | None) -> tuple[str, list[int], bool] | None:
     name, rest = (s, "") if at is None else (s[: at.start()], s[at.start() :])
     chome = re.match(r"^([0-9]+)丁目", rest)
     block = re.match(r"^[0-9]+(?:(?:丁目|番地|番|号|地|[-のノ])+[0-9]+){0,3}", rest)
-    numbers = [int(n) for n in re.findall(r"[0-9]+", block.group())] if block else []
+    numbers = [int(n) for n in re.findall(r"[0-9]+", block.group()) if len(n) <= 9] if block else []
     name = name.translate(_SAME).strip("-")
     name = re.sub(r"(?<=[市区町村])大?字", "", name)
     name = re.sub(r"^大?字", "", name)
@@ -168,7 +170,8 @@ class Gazetteer:
                 d = edits(rest, entry[2], 1 if len(entry[2]) > 2 else 0)
                 if d <= 1 and not (d and len(entry[2]) <= 2):
                     key = "/".join(entry)
-                    found[key] = min(found.get(key, 99.0), cost + d)
+                    slip = SINGLE if self.count[entry] == 1 else 0.0
+                    found[key] = min(found.get(key, 99.0), cost + d + slip)
         best = sorted(found.items(), key=lambda f: f[1])[:PLACES]
         return [f for f in best if f[1] <= best[0][1] + 0.01] if best else []
 
@@ -225,8 +228,7 @@ def gazetteer(parsed: DataFrame) -> DataFrame:
     located = counted.join(cities, ["prefecture", "city"]).groupBy("prefecture", F.col("_city").alias("city"), "town").agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.sum("m").alias("m"))
     towns = _canonical(located.select("prefecture", "city", "town", "n"), ["prefecture", "city"], "town").select("prefecture", "city", "town", F.col("canonical").alias("_town"))
     out = located.join(towns, ["prefecture", "city", "town"]).groupBy("prefecture", "city", F.col("_town").alias("town")).agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.sum("m").alias("m"))
-    # a place that only one address text names is as likely a slip as a place
-    return out.where("n >= 2").select("prefecture", "city", "town", "n", (F.col("c") / F.greatest("m", F.lit(1))).alias("chome_share"))
+    return out.select("prefecture", "city", "town", "n", (F.col("c") / F.greatest("m", F.lit(1))).alias("chome_share"))
 
 
 def resolved_names(names: DataFrame, places: DataFrame) -> DataFrame:
