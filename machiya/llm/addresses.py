@@ -71,7 +71,7 @@ def split_address(text: str | None) -> tuple[str, list[int], bool] | None:
     s = _NOTE.sub("", s).translate(_DASHES).strip(" 、,。")
     if "," in s or "、" in s:
         parts = [p.strip() for p in re.split(r"[,、]", s) if p.strip()]
-        first = re.match(r"^([0-9〇零一二三四五六七八九十百千丁目番地号のノ\s-]+?)\s+(\S.*)$", parts[0])
+        first = re.match(r"^([0-9〇零一二三四五六七八九十百千丁目番地号のノ\s-]+?)\s+([^0-9丁番地号のノ\s-].*)$", parts[0])
         if first and re.match(r"[0-9〇零一二三四五六七八九十百千]", first.group(1)):
             s = "".join(reversed(parts[1:])) + first.group(2) + first.group(1)
         else:
@@ -85,8 +85,7 @@ def split_address(text: str | None) -> tuple[str, list[int], bool] | None:
     block = re.match(r"^[0-9]+(?:(?:丁目|番地|番|号|地|[-のノ])+[0-9]+){0,3}", rest)
     numbers = [int(n) for n in re.findall(r"[0-9]+", block.group()) if len(n) <= 9] if block else []
     name = name.translate(_SAME).strip("-")
-    name = re.sub(r"(?<=[市区町村])大?字", "", name)
-    name = re.sub(r"^大?字", "", name)
+    name = re.sub(r"大字|(?<=[市区町村巾])字|^字", "", name)
     return name, numbers, chome is not None
 
 

@@ -11,6 +11,8 @@ SPLITS = {
     "所在地：三ツ森市雲井6の13の3（住居表示）": ("三ツ森市雲井", [6, 13, 3]),
     "若鳩市大字鶴舞ヵ原 2208番地の5 他3筆": ("若鳩市鶴舞ケ原", [2208, 5]),
     "白凪市一番町2-3-4": ("白凪市一番町", [2, 3, 4]),
+    "6 丁目 15 番 30 号 岩戸里, 霧ヶ原市": ("霧ケ原市岩戸里", [6, 15, 30]),
+    "汐見県早苗巾大字鳩南野121番38": ("汐見県早苗巾鳩南野", [121, 38]),
     "青樹市芹沢5丁目": ("青樹市芹沢", [5]),
 }
 
