@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Parts into which the items of one area are dealt.
+AREA_SALTS = 8
+
+
 def within(a: Column, b: Column, share: float) -> Column:
     """True if b is within ``a * (1 ± share)``, or either is unknown or not positive."""
     known = (a > 0) & (b > 0)
@@ -47,14 +51,19 @@ def comparables(items: DataFrame, sales: DataFrame, area: str, item_columns: Map
     A sale is comparable in the same area if its sizes are within ``share`` and its year within ``years`` of the item's,
     where both are known; ``item_columns`` and ``sale_columns`` name ``key``, ``land``, ``building`` and ``year``.  Items
     and sales are first reduced to their distinct characteristics, so equal ones are compared once; the join has the
-    area as equal key and the bands as residual condition.
+    area as equal key and the bands as residual condition.  Areas are few and uneven, so the items of each are dealt to
+    ``AREA_SALTS`` parts, each of which meets the area's reduced sales; comparing costs more than its bytes tell, so the
+    number of partitions is fixed.
     """
     kinds = ("land", "building", "year")
     traits = [F.col(item_columns[k]).cast("double").alias(f"i_{k}") for k in kinds]
+    tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = items.select(F.col(area).alias("area"), *traits).where("area is not null").distinct()
+    wanted = wanted.withColumn("salt", F.pmod(F.xxhash64("i_land", "i_building", "i_year"), F.lit(AREA_SALTS)).cast("int")).repartition(tasks, "area", "salt")
     offered = sales.where((F.col(price) > 0) & F.col(area).isNotNull()).groupBy(F.col(area).alias("s_area"), *[F.col(sale_columns[k]).cast("double").alias(f"s_{k}") for k in kinds], F.col(price).alias("s_price")).agg(F.count("*").alias("s_n"))
+    offered = offered.withColumn("s_salt", F.explode(F.sequence(F.lit(0), F.lit(AREA_SALTS - 1)))).repartition(tasks, "s_area", "s_salt")
     years_ok = F.coalesce(F.abs(F.col("i_year") - F.col("s_year")) <= years, F.lit(True))
-    on = (F.col("area") == F.col("s_area")) & within(F.col("i_land"), F.col("s_land"), share) & within(F.col("i_building"), F.col("s_building"), share) & years_ok
+    on = (F.col("area") == F.col("s_area")) & (F.col("salt") == F.col("s_salt")) & within(F.col("i_land"), F.col("s_land"), share) & within(F.col("i_building"), F.col("s_building"), share) & years_ok
     found = wanted.join(offered, on).groupBy("area", "i_land", "i_building", "i_year").agg(F.sum("s_n").alias("comparables"), F.percentile("s_price", F.lit(0.5), F.col("s_n")).alias("medianPrice"))
     each = items.select(F.col(item_columns["key"]).alias("key"), F.col(area).alias("i_area"), *[F.col(item_columns[k]).cast("double").alias(k) for k in kinds])
     same = F.col("i_area") == F.col("area")
