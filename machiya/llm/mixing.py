@@ -17,7 +17,7 @@ from machiya.plans.parallel import spread
 
 #: Tokens per block and slots per output shard.
 BLOCK, SHARD_SLOTS = 256, 1024
-#: Hash buckets by which a source's texts are numbered; no task holds more than one bucket of one source.
+#: Least number of hash buckets by which a source's texts are numbered; no task holds more than one bucket of one source.
 BUCKETS = 64
 
 
@@ -59,9 +59,10 @@ def pack_blocks(texts: DataFrame, block: int = BLOCK) -> DataFrame:
     """(source, digest, tokens, start): place of every text in its source's token stream, cut into blocks by ``block``.
 
     The order is by digest.  Offsets are prefix sums at two levels, over buckets of digests and within each, so a
-    source that holds most rows is still spread over ``BUCKETS`` tasks.
+    source that holds most rows is still spread over all shuffle partitions, and over ``BUCKETS`` tasks at least.
     """
-    bucketed = texts.withColumn("bucket", F.conv(F.substring("digest", 1, 4), 16, 10).cast("int") * BUCKETS / 65536).withColumn("bucket", F.floor("bucket").cast("int"))
+    buckets = min(65536, max(BUCKETS, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    bucketed = texts.withColumn("bucket", F.floor(F.conv(F.substring("digest", 1, 4), 16, 10).cast("int") * buckets / 65536).cast("int"))
     sums = bucketed.groupBy("source", "bucket").agg(F.sum("tokens").alias("sum"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
