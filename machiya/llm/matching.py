@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from machiya.llm.components import connected_groups
 from machiya.plans.durable import write_table
 from machiya.plans.skew import hot_keys, lookup_join
 
 #: Log-likelihood ratios of agreement levels: (largest difference, weight); areas differ relatively, years absolutely.
-AREA_LEVELS = ((0.002, 4.0), (0.013, 3.0), (0.035, 0.5), (0.08, -3.0))
+AREA_LEVELS = ((0.002, 4.0), (0.012, 3.0), (0.022, 1.0), (0.035, -3.0))
 YEAR_LEVELS = ((0.0, 2.5), (1.0, 1.2), (2.0, -1.5))
 AREA_APART, YEAR_APART = -6.0, -4.0
 #: Weight of one house number, and of one place when a side has no number; log odds of a candidate before evidence.
@@ -25,6 +26,8 @@ CLASS_STEP = 0.03
 ROUNDS, SETTLED, DAMPING, BELIEF = 12, 1e-3, 0.3, 0.5
 #: Candidates weaker than this log score carry no message.
 FLOOR = -4.0
+#: Evidence at which a record without a house number is a further record of a house of its own table: both areas agree.
+SAME_HOUSE = 6.9
 
 
 def _levels(difference: Column, levels, apart: float) -> Column:
@@ -140,6 +143,25 @@ def house_clusters(records: DataFrame) -> DataFrame:
     return named.unionByName(single)
 
 
+def joined_houses(clustered: DataFrame) -> DataFrame:
+    """``clustered`` with records that lack a house number put to the house of their own table that they describe.
+
+    Such a record joins the one house, or other such record, with the strongest evidence if that reaches
+    ``SAME_HOUSE``; a house with a number is preferred, then the smallest id.  Each record leads to one other at most, so
+    no two numbered houses are ever joined.
+    """
+    clustered = write_table(clustered, "clustered").df
+    values = write_table(house_values(clustered), "values").df
+    loose = values.where("number is null and land is not null and building is not null")
+    near = candidates(values.where("land is not null and building is not null"), loose).where("lid <> rid")
+    numbered = values.groupBy(F.col("id").alias("lid")).agg(F.max(F.col("number").isNotNull().cast("int")).alias("has"))
+    strong = near.where(F.col("score") - PRIOR >= SAME_HOUSE).join(numbered, "lid")
+    best = strong.groupBy("rid").agg(F.max_by("lid", F.struct("has", "score")).alias("lid"))
+    groups = connected_groups(best, "lid", "rid")
+    moved = clustered.join(groups, F.col("house") == F.col("node"), "left")
+    return moved.select(*[c for c in clustered.columns if c != "house"], F.coalesce("label", "house").alias("house"))
+
+
 def house_values(clustered: DataFrame) -> DataFrame:
     """One row per house and place (id, place, number, district, land, building, year): medians of the records' values."""
     return clustered.groupBy(F.col("house").alias("id"), "place", "number").agg(F.max("district").alias("district"), *[F.percentile_approx(c, 0.5).alias(c) for c in ("land", "building", "year")])

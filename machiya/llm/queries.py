@@ -9,7 +9,7 @@ from machiya.functions.quantities import AREA_M2, TRADE_YEN
 from machiya.llm.addresses import gazetteer, located_addresses, located_records, parsed_addresses, same_house_number
 from machiya.llm.components import linking_rows, listing_groups
 from machiya.llm.leakage import leaked_passages
-from machiya.llm.matching import BELIEF, candidates, house_clusters, house_values, match_probabilities
+from machiya.llm.matching import BELIEF, candidates, house_clusters, house_values, joined_houses, match_probabilities
 from machiya.llm.mixing import mix
 from machiya.llm.percentiles import merge_counts, percentiles, value_counts
 from machiya.llm.survivors import completeness, current_values, surviving_fields, value_levels
@@ -113,8 +113,8 @@ def _records(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 def p2_matches(spark: SparkSession, folder: str) -> DataFrame:
     """(propertyId, id, confidence): listings and hand-kept records of the same house."""
     left, right = (write_table(x, "records").df for x in _records(spark, folder))
-    listed = write_table(house_clusters(left), "houses").df
-    kept = write_table(house_clusters(right), "houses").df
+    listed = write_table(joined_houses(house_clusters(left)), "houses").df
+    kept = write_table(joined_houses(house_clusters(right)), "houses").df
     houses, keepers = (write_table(house_values(x), "values").df for x in (listed, kept))
     pairs = write_table(candidates(houses, keepers), "pairs").df
     matched = match_probabilities(pairs).where(F.col("probability") >= BELIEF)
