@@ -22,11 +22,13 @@ NEIGHBOURS = 20
 FALSE_DISCOVERY, FEWEST = 0.05, 4
 #: Texts from which the ending model learns (a bound: their number does not grow with the corpus), cuts made in each.
 LEARN_TEXTS, CUTS_PER_TEXT = 6_000, 3
-#: A closing line without a stop that so many different texts have is one that authors write.
-COMMON_CLOSING = 3
+#: An ending without a stop that so many different texts have, and such a share of them, is one that authors write.
+COMMON_CLOSING, COMMON_SHARE = 3, 0.0003
 #: Prior odds that a text is cut, away from any limit, and the most that a limit's hazard may raise them to: authors and
 #: forms also fill a field exactly, so a limit alone never outweighs a clearly whole ending.
 PRIOR_ODDS, MOST_ODDS = 0.08, 2.0
+#: Most that the log odds fall because the closing line stands whole inside other texts.
+WHOLE_LINE = 4.0
 #: Weights of the ending model.
 DIMENSIONS = 1 << 15
 
@@ -77,6 +79,12 @@ def shape_of(tail: str) -> str:
     return re.sub(r"[0-9０-９]+(?:[.,][0-9０-９]+)*", "9", s)
 
 
+def inner_lines(text: str) -> list[str]:
+    """Shapes of the lines without a stop that more text follows: lines that were surely written to their end."""
+    lines = [x for x in _TAG_OR_ENTITY.sub("\n", text).split("\n") if x.strip()]
+    return sorted({shape_of(t) for k, t in map(tail_of, lines[:-1]) if k == "open" and t.startswith("\n")})
+
+
 def _features(tail: str) -> list[int]:
     s = shape_of(tail)
     found = [f"e{n}{s[-n:]}" for n in range(1, 8)] + [f"b{n}{s[:n]}" for n in (2, 3, 5)] + ["w" + s, f"l{min(40, len(s)) // 4}", f"s{s[:1] == chr(10)}"]
@@ -199,12 +207,12 @@ def truncated_texts(documents: DataFrame) -> DataFrame:
 
     A broken character or open markup at the end is a cut.  A finished sentence is none.  Any other ending is judged
     by a model of endings, with the prior odds of its length: those of a limit of its source (``length_limits``), else
-    ``PRIOR_ODDS``.  The model is learned here, from at most ``LEARN_TEXTS`` texts; lengths, hazards and common
+    ``PRIOR_ODDS``; a closing line that stands inside other texts speaks against a cut.  The model is learned here, from at most ``LEARN_TEXTS`` texts; lengths, hazards and common
     closings are counted over all.  Null and blank texts are not cut; null doc_ids are dropped; copies count.
     """
     docs = spread(documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "source", "text"))
     whole = F.regexp_replace("text", "�+$", "")
-    schema = "doc_id bigint, source string, chars bigint, bytes bigint, kind string, tail string, shape string, digest bigint"
+    schema = "doc_id bigint, source string, chars bigint, bytes bigint, kind string, tail string, shape string, digest bigint, inner array<string>"
     measured = docs.select("doc_id", "source", "text", F.length(whole).cast("bigint").alias("chars"), F.octet_length(whole).cast("bigint").alias("bytes"), F.xxhash64("text").alias("digest"))
 
     def endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,13 +221,16 @@ def truncated_texts(documents: DataFrame) -> DataFrame:
             out = batch.drop(columns="text")
             out["kind"], out["tail"] = [k for k, _ in read], [t for _, t in read]
             out["shape"] = [shape_of(t) for _, t in read]
-            yield out[["doc_id", "source", "chars", "bytes", "kind", "tail", "shape", "digest"]]
+            out["inner"] = [inner_lines(t) for t in batch["text"]]
+            yield out[["doc_id", "source", "chars", "bytes", "kind", "tail", "shape", "digest", "inner"]]
 
     ends = write_table(measured.mapInPandas(endings, schema), "endings").df
-    distinct = ends.dropDuplicates(["source", "digest"])
+    distinct = ends.drop("inner").dropDuplicates(["source", "digest"])
+    inside = ends.select(F.explode("inner").alias("line")).groupBy("line").agg(F.count("*").alias("seen"))
     limits = length_limits(distinct, {"chars": F.col("chars"), "bytes": F.col("bytes")})
     limits = write_table(limits, "limits").df
-    closings = distinct.where("kind = 'open'").groupBy("shape").agg(F.count_distinct("digest").alias("n")).where(F.col("n") >= COMMON_CLOSING)
+    fewest = max(COMMON_CLOSING, COMMON_SHARE * distinct.count())
+    closings = distinct.where("kind = 'open'").groupBy("shape").agg(F.count_distinct("digest").alias("n")).where(F.col("n") >= fewest)
 
     sample = docs.where("trim(text) <> ''").select("text", F.xxhash64("text").alias("h")).dropDuplicates(["h"]).orderBy("h").limit(LEARN_TEXTS)
     learned = [r[0] for r in sample.select("text").collect()]
@@ -234,10 +245,10 @@ def truncated_texts(documents: DataFrame) -> DataFrame:
         return tails.map(own.log_odds)
 
     at = {m: limits.where(F.col("measure") == m).select(F.col("source").alias(f"{m}_source"), F.col("length").alias(f"{m}_length"), F.col("odds").alias(f"{m}_odds")) for m in ("chars", "bytes")}
-    out = ends.where("kind <> 'stop'")
+    out = ends.drop("inner").where("kind <> 'stop'").join(inside, F.col("shape") == F.col("line"), "left")
     for m in at:
         out = out.join(F.broadcast(at[m]), F.col("source").eqNullSafe(F.col(f"{m}_source")) & (F.col(m) == F.col(f"{m}_length")), "left")
     prior = F.log(F.greatest(F.coalesce("chars_odds", F.lit(0.0)), F.coalesce("bytes_odds", F.lit(0.0)), F.lit(PRIOR_ODDS)))
-    scored = out.withColumn("log_odds", F.when(F.col("kind") == "open", judged(F.col("tail")) + prior))
+    scored = out.withColumn("log_odds", F.when(F.col("kind") == "open", judged(F.col("tail")) + prior - F.least(F.log1p(F.coalesce("seen", F.lit(0))), F.lit(WHOLE_LINE))))
     limited = F.col("chars_odds").isNotNull() | F.col("bytes_odds").isNotNull()
     return scored.where((F.col("kind") == "cut") | (F.col("log_odds") > 0)).select("doc_id", "source", "kind", "log_odds", limited.alias("at_limit"), "tail")
