@@ -10,6 +10,7 @@ from machiya.functions import decisions, text
 from machiya.operators import aggregates, components, history, joins, merging
 from machiya.operators.quality import violations, shrink_guard
 from machiya.operators.snapshots import latest_readings
+from machiya.sources.documents import recent_quarters, retrieval_plan
 from machiya.sources.tables import table
 
 NOW = "2026-10-12 00:00:00"
@@ -300,6 +301,44 @@ def drop_guard(spark: SparkSession, folder: str) -> DataFrame:
     return shrink_guard(r.where("snapshotSeq = 4"), r.where("snapshotSeq = 5"), 0.3)
 
 
+def walk_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Listings by what they tell of the walk to the station: rows whose evidence is incomplete or contradictory."""
+    d = table(spark, folder, "discovered_listings")
+    minutes, flag, named = F.col("targetStationWalkMinutes"), F.col("targetStationWalkAvailable"), text.usable(F.col("targetStation"), text.EMPTY_AUDIT)
+    plausible = F.coalesce(minutes.between(1, 120), F.lit(False))
+    steps = [
+        (minutes.isNotNull() & ~plausible, F.lit("implausible")), (plausible & F.coalesce(~flag, F.lit(False)), F.lit("contradicted")), (plausible & ~named, F.lit("no_station")),
+        (plausible, F.lit("complete")), (F.coalesce(flag, F.lit(False)), F.lit("promised")), (named, F.lit("station_only")),
+    ]
+    return d.groupBy("snapshotSeq", decisions.ladder(steps, F.lit("none")).alias("category")).agg(F.count("*").alias("rows"))
+
+
+def data_quality_report(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per source: rows, listings, span of sightings in days, share of rows without a sighting, repeated rows."""
+    d = table(spark, folder, "discovered_listings")
+    out = d.groupBy("source").agg(
+        F.count("*").alias("rows"), F.count_distinct("propertyId").alias("listings"), F.count_distinct("snapshotSeq", "propertyId").alias("readings"), F.count_if(F.col("lastSeenAt").isNull()).alias("unseen"),
+        F.floor((F.unix_micros(F.max("lastSeenAt")) - F.unix_micros(F.min("lastSeenAt"))) / F.lit(86_400_000_000)).alias("spanDays"),
+    )
+    return out.withColumn("repeatedRows", F.col("rows") - F.col("readings")).withColumn("unseenShare", F.col("unseen") / F.col("rows"))
+
+
+def record_promotion(spark: SparkSession, folder: str) -> DataFrame:
+    """Per listing: the first usable address of its aliases, and the distinct spellings of all, in order."""
+    d = table(spark, folder, "discovered_listings")
+    names = ["fullAddress", "address", "propertyAddress"]
+    one = d.groupBy("propertyId").agg(*[F.max(c).alias(c) for c in names])
+    spellings = F.array_distinct(F.array_compact(F.array(*[F.when(text.usable(F.col(c), text.EMPTY_DETAIL), text.strip(F.col(c))) for c in names])))
+    return one.select("propertyId", text.first_usable([F.col(c) for c in names], text.EMPTY_DETAIL).alias("address"), F.concat_ws("|", spellings).alias("spellings"))
+
+
+def quarter_plan(spark: SparkSession, folder: str) -> DataFrame:
+    """Which newest quarter each city still needs, against the quarters that are stored."""
+    t = table(spark, folder, "transactions").where("_cityName is not null")
+    stored = t.where("_period is not null").select(F.col("_cityName").alias("city"), F.col("_period").alias("period"))
+    return retrieval_plan(t.select(F.col("_cityName").alias("city")), recent_quarters(spark, 2026, 4), stored)
+
+
 _P = lambda c: f"CASE WHEN {c} > 0 AND NOT isnan({c}) THEN {c} END"
 _STRIP = lambda c: f"regexp_replace({c}, '^[\\s　]+|[\\s　]+$', '', 'g')"
 _N = lambda c: f"(SELECT CASE WHEN x > 0 THEN x END FROM (SELECT try_cast(nullif(regexp_extract(translate(replace({c}, ',', ''), '{text.WIDE_DIGITS}．', '{text.DIGITS}.'), '[0-9]+(?:\\.[0-9]+)?'), '') AS DOUBLE) AS x))"
@@ -325,7 +364,7 @@ QUERIES = {
         transaction_metrics, p20_p80, field_coverage, dup_key_groups, tri_state_criteria, run_counters, decision_ladder, flag_labels, market_window, observation_changes, price_history, bounded_history,
         lifecycle_state, lifecycle_summary, quarantine_stamps, quarantine_prune, latest_merge, representative, marked_duplicates, fingerprint_distinct, upsert_state, blocked_pairs, pair_scores, comparables,
         unique_key_lookup, reconcile, fold_two, dimension_attach, similar_listings, fetch_queue, category_examples, retention_cap, duplicate_groups, set_operations, props_unnest, component_scores,
-        explicit_end, constraint_violations, drop_guard,
+        explicit_end, constraint_violations, drop_guard, walk_audit, data_quality_report, record_promotion, quarter_plan,
     )
 }
 
@@ -422,4 +461,12 @@ SQL = {
         UNION ALL SELECT 'key_repeated', unnest(range(n - 1)) >= 0 FROM (SELECT count(*) AS n FROM discovered_listings GROUP BY snapshotSeq, propertyId HAVING count(*) > 1))
         SELECT rule, count(*) AS rows FROM v WHERE bad GROUP BY rule""",
     "drop_guard": f"WITH {_R} SELECT count(*) FILTER (snapshotSeq = 4) AS before, count(*) FILTER (snapshotSeq = 5) AS after, count(*) FILTER (snapshotSeq = 5) < 0.7 * count(*) FILTER (snapshotSeq = 4) AS refused FROM r",
+    "walk_audit": f"""SELECT snapshotSeq, CASE WHEN m IS NOT NULL AND NOT ok THEN 'implausible' WHEN ok AND NOT f THEN 'contradicted' WHEN ok AND NOT named THEN 'no_station' WHEN ok THEN 'complete' WHEN f THEN 'promised' WHEN named THEN 'station_only' ELSE 'none' END AS category, count(*) AS rows
+        FROM (SELECT snapshotSeq, targetStationWalkMinutes AS m, coalesce(targetStationWalkMinutes BETWEEN 1 AND 120, false) AS ok, targetStationWalkAvailable AS f, coalesce({_STRIP('targetStation')} NOT IN ('', '-', '－', '不明', '未定', 'なし', 'N/A'), false) AS named FROM discovered_listings) GROUP BY ALL""",
+    "data_quality_report": """SELECT *, rows - readings AS repeatedRows, unseen / rows AS unseenShare FROM (SELECT source, count(*) AS rows, count(DISTINCT propertyId) AS listings, count(DISTINCT (snapshotSeq, propertyId)) AS readings,
+        count(*) FILTER (lastSeenAt IS NULL) AS unseen, floor((epoch_us(max(lastSeenAt)) - epoch_us(min(lastSeenAt))) / 86400000000)::BIGINT AS spanDays FROM discovered_listings GROUP BY source)""",
+    "record_promotion": f"""WITH o AS (SELECT propertyId, max(fullAddress) AS f, max(address) AS a, max(propertyAddress) AS p FROM discovered_listings GROUP BY propertyId),
+        u AS (SELECT propertyId, CASE WHEN {_STRIP('f')} NOT IN ('', '-', '－', '不明', '未定') THEN {_STRIP('f')} END AS f, CASE WHEN {_STRIP('a')} NOT IN ('', '-', '－', '不明', '未定') THEN {_STRIP('a')} END AS a, CASE WHEN {_STRIP('p')} NOT IN ('', '-', '－', '不明', '未定') THEN {_STRIP('p')} END AS p FROM o)
+        SELECT propertyId, coalesce(f, a, p) AS address, concat_ws('|', f, CASE WHEN a IS DISTINCT FROM f THEN a END, CASE WHEN p IS DISTINCT FROM f AND p IS DISTINCT FROM a THEN p END) AS spellings FROM u""",
+    "quarter_plan": "SELECT _cityName AS city, '2026Q3' AS period, CASE WHEN bool_or(coalesce(_period = '2026Q3', false)) THEN 'already_stored' ELSE 'to_fetch' END AS status FROM transactions WHERE _cityName IS NOT NULL GROUP BY _cityName",
 }
