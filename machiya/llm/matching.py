@@ -22,8 +22,8 @@ SAME_NUMBER, SAME_PLACE, PRIOR = 7.0, 0.0, -6.0
 SAME_DISTRICT, OTHER_DISTRICT = 1.5, -8.0
 #: Width of the area classes by which records without a house number meet, as a relative step.
 CLASS_STEP = 0.03
-#: Rounds of message passing at most, the change at which they end, damping, and the belief that makes a match.
-ROUNDS, SETTLED, DAMPING, BELIEF = 12, 1e-3, 0.3, 0.5
+#: Rounds of message passing at most, the change of log odds at which they end, damping, and the belief that matches.
+ROUNDS, SETTLED, DAMPING, BELIEF = 12, 1e-2, 0.1, 0.5
 #: Candidates weaker than this log score carry no message.
 FLOOR = -4.0
 #: Evidence at which a record without a house number is a further record of a house of its own table: both areas agree.
