@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from machiya.llm.components import connected_groups
 from machiya.plans.durable import write_table
 from machiya.plans.skew import hot_keys, lookup_join
 
@@ -146,9 +145,9 @@ def house_clusters(records: DataFrame) -> DataFrame:
 def joined_houses(clustered: DataFrame) -> DataFrame:
     """``clustered`` with records that lack a house number put to the house of their own table that they describe.
 
-    Such a record joins the one house, or other such record, with the strongest evidence if that reaches
-    ``SAME_HOUSE``; a house with a number is preferred, then the smallest id.  Each record leads to one other at most, so
-    no two numbered houses are ever joined.
+    Such a record joins the numbered house with the strongest evidence if that reaches ``SAME_HOUSE``, ties going to the
+    smallest id.  Without one, it takes the smallest id among itself and the other such records that reach it.  No two
+    numbered houses are ever joined.
     """
     clustered = write_table(clustered, "clustered").df
     values = write_table(house_values(clustered), "values").df
@@ -156,10 +155,10 @@ def joined_houses(clustered: DataFrame) -> DataFrame:
     near = candidates(values.where("land is not null and building is not null"), loose).where("lid <> rid")
     numbered = values.groupBy(F.col("id").alias("lid")).agg(F.max(F.col("number").isNotNull().cast("int")).alias("has"))
     strong = near.where(F.col("score") - PRIOR >= SAME_HOUSE).join(numbered, "lid")
-    best = strong.groupBy("rid").agg(F.max_by("lid", F.struct("has", "score")).alias("lid"))
-    groups = connected_groups(best, "lid", "rid")
-    moved = clustered.join(groups, F.col("house") == F.col("node"), "left")
-    return moved.select(*[c for c in clustered.columns if c != "house"], F.coalesce("label", "house").alias("house"))
+    named = F.min_by("lid", F.when(F.col("has") == 1, F.struct((-F.col("score")).alias("s"), F.col("lid"))))
+    target = strong.groupBy("rid").agg(F.coalesce(named, F.least("rid", F.min("lid"))).alias("target"))
+    moved = clustered.join(target, F.col("house") == F.col("rid"), "left")
+    return moved.select(*[c for c in clustered.columns if c != "house"], F.coalesce("target", "house").alias("house"))
 
 
 def house_values(clustered: DataFrame) -> DataFrame:
