@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from machiya.plans.durable import write_table
-from machiya.plans.parallel import spread
+from machiya.plans.parallel import evenly
 
 #: A spelling joins another one of its locality when they are one edit apart and the other is so many times as frequent.
 VARIANT_RATIO = 4
@@ -188,7 +188,7 @@ def parsed_addresses(texts: DataFrame, text: str) -> DataFrame:
                     rows.append((t, got[0], *split_name(got[0]), got[1], got[2]))
             yield pd.DataFrame(rows, columns=["text", "name", "prefecture", "city", "town", "numbers", "chome"])
 
-    return spread(texts.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).distinct()).mapInPandas(parse, schema)
+    return evenly(texts.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).distinct(), "text").mapInPandas(parse, schema)
 
 
 def _deletions(name: Column) -> Column:
@@ -265,7 +265,7 @@ def located_addresses(texts: DataFrame, text: str, places: DataFrame, parsed: Da
     its branch.  ``district`` is the 丁目 where there are any, even of an incomplete number.
     """
     names = parsed.where("name <> ''").select("name").distinct()
-    found = write_table(resolved_names(spread(names), places), "names").df
+    found = write_table(resolved_names(evenly(names, "name"), places), "names").df
     style = places.select(F.concat_ws("/", "prefecture", "city", "town").alias("_place"), "chome_share")
     joined = parsed.join(found, "name").join(style, F.col("place") == F.col("_place"))
     n = F.col("numbers")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from machiya.plans.parallel import spread
+from machiya.plans.parallel import evenly, spread
 
 #: Length of a q-gram that begins with an ASCII character, and of any other.
 Q_ASCII, Q_OTHER = 12, 5
@@ -162,8 +162,6 @@ def leaked_passages(documents: DataFrame, items: DataFrame, held: float = HELD)
             share = [held_share(d, p) for d, p in zip(batch["folded"], batch["passage"])]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "item_id": batch["item_id"], "share": share})
 
-    # the pairs are few but costly: a fixed number of partitions keeps them from being merged into one task
-    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    even = chosen.select("doc_id", "item_id", "folded", "passage").repartition(tasks, "doc_id", "item_id")
-    out = even.mapInPandas(align, "doc_id bigint, item_id bigint, share double")
+    # the pairs are few but costly
+    out = evenly(chosen.select("doc_id", "item_id", "folded", "passage"), "doc_id", "item_id").mapInPandas(align, "doc_id bigint, item_id bigint, share double")
     return out.where(F.col("share") >= held)
