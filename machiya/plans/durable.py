@@ -52,8 +52,3 @@ def write_table(df: DataFrame, label: str = "step") -> Table:
     fs, where = _file_system(spark, path)
     fs.deleteOnExit(where)
     return Table(spark.read.schema(df.schema).parquet(path), path)
-
-
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
-    """``write_table`` for results that stay in use until the session ends."""
-    return write_table(df, label).df
