@@ -222,7 +222,7 @@ def gazetteer(parsed: DataFrame) -> DataFrame:
     # a prefecture spelled wrongly is far rarer than any that exists
     most = prefectures.agg(F.max("pn").alias("most"))
     real = prefectures.crossJoin(F.broadcast(most)).where("pn * 50 >= most").select("prefecture")
-    counted = counted.join(F.broadcast(real), "prefecture")
+    counted = counted.join(real, "prefecture")
     cities = _canonical(counted.groupBy("prefecture", "city").agg(F.sum("n").alias("n")), ["prefecture"], "city").select("prefecture", "city", F.col("canonical").alias("_city"))
     located = counted.join(cities, ["prefecture", "city"]).groupBy("prefecture", F.col("_city").alias("city"), "town").agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.sum("m").alias("m"))
     towns = _canonical(located.select("prefecture", "city", "town", "n"), ["prefecture", "city"], "town").select("prefecture", "city", "town", F.col("canonical").alias("_town"))

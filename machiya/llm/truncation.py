@@ -247,7 +247,7 @@ def truncated_texts(documents: DataFrame) -> DataFrame:
     at = {m: limits.where(F.col("measure") == m).select(F.col("source").alias(f"{m}_source"), F.col("length").alias(f"{m}_length"), F.col("odds").alias(f"{m}_odds")) for m in ("chars", "bytes")}
     out = ends.drop("inner").where("kind <> 'stop'").join(inside, F.col("shape") == F.col("line"), "left")
     for m in at:
-        out = out.join(F.broadcast(at[m]), F.col("source").eqNullSafe(F.col(f"{m}_source")) & (F.col(m) == F.col(f"{m}_length")), "left")
+        out = out.join(at[m], F.col("source").eqNullSafe(F.col(f"{m}_source")) & (F.col(m) == F.col(f"{m}_length")), "left")
     prior = F.log(F.greatest(F.coalesce("chars_odds", F.lit(0.0)), F.coalesce("bytes_odds", F.lit(0.0)), F.lit(PRIOR_ODDS)))
     scored = out.withColumn("log_odds", F.when(F.col("kind") == "open", judged(F.col("tail")) + prior - F.least(F.log1p(F.coalesce("seen", F.lit(0))), F.lit(WHOLE_LINE))))
     limited = F.col("chars_odds").isNotNull() | F.col("bytes_odds").isNotNull()
