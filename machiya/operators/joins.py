@@ -11,6 +11,8 @@ from pyspark.sql.window import Window
 
 #: Parts into which the items of one area are dealt.
 AREA_SALTS = 8
+#: Rows of one block that meet a whole block in one part; larger blocks are dealt to more parts.
+BLOCK_PART = 1000
 
 
 def within(a: Column, b: Column, share: float) -> Column:
@@ -35,6 +37,31 @@ def blocked_pairs(df: DataFrame, key: str, block: Column, columns: Sequence[str]
     return a.join(b, "block").where("a < b").select("a", "b", "va", "vb")
 
 
+def duplicate_pairs(df: DataFrame, key: str, address: Column, columns: Sequence[str], detailed: Column, smallest: int = 2, largest: int = 12, least: int = 6) -> DataFrame:
+    """Pairs (a, b, va, vb, same) of rows that may be one house, smaller key first: the union of two blockings.
+
+    Rows of one detailed address are all paired, however many they are; the rows of a large block are dealt to parts,
+    each of which meets the whole block.  Rows of one locality (the address without digits and dashes, of at least
+    ``least`` characters) are paired if one address contains the other and one is detailed, in localities of ``smallest``
+    to ``largest`` rows.  ``same`` tells whether the addresses are equal; a pair that both find comes once.  Null
+    addresses have no pairs.  Rows should be unique by key.
+    """
+    rows = df.select(F.col(key).alias("k"), address.alias("address"), F.coalesce(detailed, F.lit(False)).alias("detailed"), F.struct(*columns).alias("v")).where("address is not null")
+    exact = rows.where("detailed")
+    parts = exact.groupBy("address").agg(F.count("*").alias("size")).where("size > 1").select("address", F.ceil(F.col("size") / BLOCK_PART).cast("int").alias("parts"))
+    dealt = exact.join(parts, "address")
+    a = dealt.select("address", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int").alias("part"), F.col("k").alias("a"), F.col("v").alias("va"))
+    b = dealt.select("address", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("k").alias("b"), F.col("v").alias("vb"))
+    equal = a.join(b, ["address", "part"]).where("a < b").select("a", "b", "va", "vb", F.lit(True).alias("same"))
+
+    near = rows.withColumn("block", F.regexp_replace("address", "[0-9-]", "")).where(F.length("block") >= least)
+    found = blocked_pairs(near, "k", F.col("block"), ["address", "detailed", "v"], smallest, largest)
+    x, y = F.col("va.address"), F.col("vb.address")
+    # pairs of one detailed address are in the other blocking
+    local = found.where((F.contains(x, y) | F.contains(y, x)) & (F.col("va.detailed") | F.col("vb.detailed")) & ~((x == y) & F.col("va.detailed")))
+    return equal.unionByName(local.select("a", "b", F.col("va.v").alias("va"), F.col("vb.v").alias("vb"), (x == y).alias("same")))
+
+
 def relative_difference(x: Column, y: Column) -> Column:
     """|x - y| / max(x, y); null if either is unknown or neither is positive."""
     return F.try_divide(F.abs(x - y), F.greatest(x, y))

@@ -171,20 +171,40 @@ def _pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def blocked_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of one exact address with 2 to 12 listings, as its SQL has them; ``duplicate_candidates`` has all pairs."""
     return _pairs(spark, folder).select("a", "b")
 
 
-def pair_scores(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pairs(spark, folder)
+def _scored(p: DataFrame, address: list) -> DataFrame:
     land = joins.relative_difference(F.col("va.landAreaM2"), F.col("vb.landAreaM2"))
     building = joins.relative_difference(F.col("va.buildingAreaM2"), F.col("vb.buildingAreaM2"))
     year = F.abs(F.col("va.constructionYear") - F.col("vb.constructionYear"))
     plan = [text.layout_token(F.col(f"{s}.layout")) for s in ("va", "vb")]
-    score = joins.pair_score([(F.lit(True), 45), (land <= 0.02, 20), ((land > 0.02) & (land <= 0.08), 10), (building <= 0.02, 20), ((building > 0.02) & (building <= 0.08), 10), (year <= 1, 10), (plan[0] == plan[1], 5)])
+    score = joins.pair_score([*address, (land <= 0.02, 20), ((land > 0.02) & (land <= 0.08), 10), (building <= 0.02, 20), ((building > 0.02) & (building <= 0.08), 10), (year <= 1, 10), (plan[0] == plan[1], 5)])
     conflict = F.coalesce(land > 0.15, F.lit(False)) | F.coalesce(building > 0.15, F.lit(False)) | F.coalesce(year > 2, F.lit(False))
     return p.select("a", "b", score.alias("score"), conflict.alias("conflict"))
 
 
+def pair_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The pairs of ``blocked_pairs`` with their scores; ``duplicate_scores`` has all pairs."""
+    return _scored(_pairs(spark, folder), [(F.lit(True), 45)])
+
+
+def _candidates(spark: SparkSession, folder: str) -> DataFrame:
+    r = _readings(spark, folder).where("snapshotSeq = 5").withColumn("market", text.market_address(F.col("address")))
+    return joins.duplicate_pairs(r, "propertyId", F.col("market"), ["landAreaM2", "buildingAreaM2", "constructionYear", "layout"], text.digit_runs(F.col("market")) >= 2)
+
+
+def duplicate_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of one exact address, of any size, and the pairs of small localities whose addresses contain each other."""
+    return _candidates(spark, folder).select("a", "b")
+
+
+def duplicate_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of ``duplicate_candidates``; an address that only contains the other gives fewer points than an equal one."""
+    return _scored(_candidates(spark, folder), [(F.col("same"), 45), (~F.col("same"), 30)])
+
+
 def comparables(spark: SparkSession, folder: str) -> DataFrame:
     r = _readings(spark, folder).where("snapshotSeq = 5")
     r = r.withColumn("city", F.nullif(F.regexp_extract("address", "([^都道府県市区町村]{1,8}市)", 1), F.lit("")))
@@ -362,7 +382,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         transaction_metrics, p20_p80, field_coverage, dup_key_groups, tri_state_criteria, run_counters, decision_ladder, flag_labels, market_window, observation_changes, price_history, bounded_history,
-        lifecycle_state, lifecycle_summary, quarantine_stamps, quarantine_prune, latest_merge, representative, marked_duplicates, fingerprint_distinct, upsert_state, blocked_pairs, pair_scores, comparables,
+        lifecycle_state, lifecycle_summary, quarantine_stamps, quarantine_prune, latest_merge, representative, marked_duplicates, fingerprint_distinct, upsert_state, blocked_pairs, pair_scores, duplicate_candidates, duplicate_scores, comparables,
         unique_key_lookup, reconcile, fold_two, dimension_attach, similar_listings, fetch_queue, category_examples, retention_cap, duplicate_groups, set_operations, props_unnest, component_scores,
         explicit_end, constraint_violations, drop_guard, walk_audit, data_quality_report, record_promotion, quarter_plan,
     )

@@ -122,6 +122,17 @@ def test_blocked_pairs_respect_sizes(spark):
     assert [(r["a"], r["b"]) for r in joins.blocked_pairs(df, "k", F.col("blk"), ["k"], 2, 12).collect()] == [("b1", "b2")]
 
 
+def test_duplicate_pairs_of_crowded_addresses_and_localities(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BLOCK_PART", 5)
+    data = [(f"a{i:02}", "青樹市芹東沢2-9-7") for i in range(30)] + [("b1", "若鳩市鶴舞ケ原77-1"), ("b2", "若鳩市鶴舞ケ原77"), ("b3", "若鳩市鶴舞ケ原77-1"), ("b4", "若鳩市鶴舞ケ原"), ("b5", "若鳩市鶴舞ケ原88-1")]
+    data += [("c1", "短町1-2"), ("c2", "短町1"), ("d", None)]
+    df = spark.createDataFrame(data, "k string, adr string")
+    got = [(r["a"], r["b"], r["same"]) for r in joins.duplicate_pairs(df, "k", F.col("adr"), ["k"], F.regexp_count("adr", F.lit("[0-9]+")) >= 2).collect()]
+    crowded = {(f"a{i:02}", f"a{j:02}", True) for i in range(30) for j in range(i + 1, 30)}
+    near = {("b1", "b3", True), ("b1", "b2", False), ("b2", "b3", False), ("b1", "b4", False), ("b3", "b4", False), ("b4", "b5", False)}
+    assert len(got) == len(set(got)) and set(got) == crowded | near
+
+
 def test_unique_key_lookup_variants(spark):
     left = spark.createDataFrame([(1, "p1", "s1"), (2, "p9", "s2"), (3, "pp", "s1"), (4, None, None)], "i int, p string, s string")
     right = spark.createDataFrame([("p1", "s9", "one"), ("pp", "s1", "two"), ("pp", "s3", "three"), ("px", "s2", "four")], "p string, s string, v string")
