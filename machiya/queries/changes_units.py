@@ -31,31 +31,35 @@ def p3_changed_fields(spark: SparkSession, folder: str) -> DataFrame:
     return out.groupBy("snapshotSeq", "changeKind", "fields").agg(F.count("*").alias("listings"))
 
 
-def _listing_amounts(spark: SparkSession, folder: str) -> DataFrame:
-    last = table(spark, folder, "discovered_listings").where("snapshotSeq = 5")
-    readings = latest_readings(last, ["propertyId"], "lastSeenAt", ["priceYen", "priceMan"])
-    prior = log_prior(last, "priceYen", PRICE_YEN)
+def _listing_amounts(listings: DataFrame) -> DataFrame:
+    """(snapshotSeq, recordKey, fieldName, recorded, own, commonValue): the prices of each reading of ``listings`` in yen."""
+    readings = latest_readings(listings, ["snapshotSeq", "propertyId"], "lastSeenAt", ["priceYen", "priceMan"])
+    prior = log_prior(listings, "priceYen", PRICE_YEN)
     fields = {"priceYen": PRICE_YEN, "priceMan": PRICE_MAN}
     scaled = common_scales(readings.crossJoin(F.broadcast(prior)), fields, F.col("center"), F.col("spread"))
     cells = [
         F.struct(F.lit(n).alias("fieldName"), F.col(n).cast("double").alias("recorded"), F.lit(f.own).alias("own"), F.col(f"{n}_common").alias("commonValue"))
         for n, f in fields.items()
     ]
-    return scaled.select(F.col("propertyId").alias("recordKey"), F.explode(F.array(*cells)).alias("c")).select("recordKey", "c.*").where("commonValue is not null")
+    return scaled.select("snapshotSeq", F.col("propertyId").alias("recordKey"), F.explode(F.array(*cells)).alias("c")).select("snapshotSeq", "recordKey", "c.*").where("commonValue is not null")
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    numbers = _listing_amounts(spark, folder).where(F.col("commonValue") != F.col("recorded") * F.col("own"))
+    last = table(spark, folder, "discovered_listings").where("snapshotSeq = 5")
+    numbers = _listing_amounts(last).where(F.col("commonValue") != F.col("recorded") * F.col("own"))
     texts = common_units(table(spark, folder, "source_properties"), "id", {"price": PRICE_MAN, "land": AREA_M2}).where(~F.col("plain"))
     rows = numbers.select("recordKey", "fieldName", "commonValue").unionByName(texts.select(F.col("id").alias("recordKey"), "fieldName", "commonValue"))
     return rows.select("recordKey", "fieldName", F.round("commonValue").cast("bigint").alias("commonValue")).distinct()
 
 
 def p7_common_units(spark: SparkSession, folder: str) -> DataFrame:
-    """Every stated price and land area in yen or m², plain values included."""
-    numbers = _listing_amounts(spark, folder).select("recordKey", "fieldName", "commonValue")
+    """Every stated price and land area in yen or m², plain values included.
+
+    Listings have one row per snapshot, reading and field; the hand-kept records belong to no snapshot (null).
+    """
+    numbers = _listing_amounts(table(spark, folder, "discovered_listings")).select("snapshotSeq", "recordKey", "fieldName", "commonValue")
     texts = common_units(table(spark, folder, "source_properties"), "id", {"price": PRICE_MAN, "land": AREA_M2})
-    return numbers.unionByName(texts.select(F.col("id").alias("recordKey"), "fieldName", "commonValue"))
+    return numbers.unionByName(texts.select(F.lit(None).cast("int").alias("snapshotSeq"), F.col("id").alias("recordKey"), "fieldName", "commonValue"))
 
 
 _READINGS = """
