@@ -9,7 +9,8 @@ from machiya.streaming.observations import changes, event_stream, run_to_end, se
 
 
 def session_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return run_to_end(sessions(event_stream(spark, folder), "user_id", "ts", "12 hours"), "sessions")
+    """Every session of the table, those that are open at its end included."""
+    return run_to_end(sessions(event_stream(spark, folder, delay=None, files=None), "user_id", "ts", "12 hours"), "sessions", "complete")
 
 
 def change_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,11 +12,17 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from machiya.plans.durable import shared_folder
 
 
-def event_stream(spark: SparkSession, folder: str, name: str = "events", time: str = "ts", delay: str = "1 day") -> DataFrame:
-    """A table's files as a stream, its time as a timestamp with a watermark."""
+def event_stream(spark: SparkSession, folder: str, name: str = "events", time: str = "ts", delay: str | None = "1 day", files: int | None = 4) -> DataFrame:
+    """A table's files as a stream, its time as a timestamp with a watermark.
+
+    Rows that are later than ``delay`` may be dropped; without one nothing is.  ``files`` are read per trigger, all at
+    once without it.
+    """
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/{name}.parquet*")
-    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+    reader = spark.readStream.schema(schema)
+    stream = (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(f"{folder}/{name}.parquet*")
+    stream = stream.withColumn(time, F.col(time).cast("timestamp"))
+    return stream if delay is None else stream.withWatermark(time, delay)
 
 
 def sessions(stream: DataFrame, key: str, time: str, gap: str) -> DataFrame:
@@ -56,11 +62,19 @@ def changes(stream: DataFrame, key: str, time: str, compared: Sequence[str]) ->
 
 
 def run_to_end(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is there, into a written table, and return that table."""
+    """Run a stream over all that is there, into a written table, and return that table.
+
+    In append mode windows and sessions that the watermark has not passed at the end are not in it; in complete mode
+    all are, as they stand after the last batch.
+    """
     import uuid
 
     spark = stream.sparkSession
     base = f"{shared_folder(spark)}/machiya/{label}-{uuid.uuid4().hex}"
-    query = stream.writeStream.format("parquet").outputMode(mode).option("path", f"{base}/out").option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start()
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/log").trigger(availableNow=True)
+    if mode == "complete":
+        query = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{base}/out")).start()
+    else:
+        query = writer.format("parquet").option("path", f"{base}/out").start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")

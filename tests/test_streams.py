@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from machiya.functions import dates
+from machiya.queries.streams import session_stream
 from machiya.sources.documents import search_targets
 from machiya.streaming.observations import changes, event_stream, run_to_end, sessions, tumbling
 
@@ -35,6 +36,18 @@ def test_sessions_and_windows(spark, folder):
     assert sorted((r["user"], r["start"].day, r["events"]) for r in days) == [("a", 1, 4), ("a", 2, 1), ("b", 1, 1), ("b", 2, 2)]
 
 
+def test_session_stream_has_all_sessions_of_unordered_files(spark, tmp_path):
+    at = lambda d, h=0: datetime(2026, 1, d, h)
+    files = [[(1, at(20))], [(1, at(20, 11)), (2, at(19))], [(3, at(9))], [(3, at(18))], [(3, at(18, 6))], [(1, at(1)), (2, at(2))], [(1, at(1, 5))], [(3, at(9, 13))]]
+    for rows in files:
+        spark.createDataFrame(rows, "user_id bigint, ts timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    got = sorted((r["user_id"], r["start"], r["end"], r["events"]) for r in session_stream(spark, str(tmp_path)).collect())
+    assert got == [
+        (1, at(1), at(1, 17), 2), (1, at(20), at(20, 23), 2), (2, at(2), at(2, 12), 1), (2, at(19), at(19, 12), 1),
+        (3, at(9), at(9, 12), 1), (3, at(9, 13), at(10, 1), 1), (3, at(18), at(18, 18), 2),
+    ]
+
+
 def test_targets(spark):
     df = spark.createDataFrame([("one", "https://a.example/x", None), ("two", "https://a.example/x", True), ("off", "https://a.example/y", False), ("bad", "x", True), ("none", None, True)], "name string, url string, enabled boolean")
     assert [(r["url"], r["name"]) for r in search_targets(df).collect()] == [("https://a.example/x", "one")]
