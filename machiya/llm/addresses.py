@@ -210,19 +210,32 @@ def _canonical(spellings: DataFrame, within: list[str], name: str) -> DataFrame:
     return spellings.join(near, [*within, name], "left").select(*within, name, "n", F.coalesce("canonical", name).alias("canonical"))
 
 
+def _canonical_prefectures(counted: DataFrame) -> DataFrame:
+    """(prefecture, _prefecture): spellings one edit from a far more frequent prefecture that has the cities of most of their texts.
+
+    ``counted`` has (prefecture, city, n).  A rare prefecture with cities of its own stays.
+    """
+    cities = counted.groupBy("prefecture", "city").agg(F.sum("n").alias("cn"))
+    names = cities.groupBy("prefecture").agg(F.sum("cn").alias("n"))
+    keyed = names.select("prefecture", "n", F.explode(_deletions(F.col("prefecture"))).alias("d"))
+    other = keyed.select(F.col("prefecture").alias("_prefecture"), F.col("n").alias("_n"), "d")
+    near = keyed.join(other, "d").where(F.col("_n") >= VARIANT_RATIO * F.col("n")).select("prefecture", "n", "_prefecture", "_n").distinct()
+    known = cities.select(F.col("prefecture").alias("_prefecture"), "city")
+    shared = near.join(cities, "prefecture").join(known, ["_prefecture", "city"]).groupBy("prefecture", "n", "_prefecture", "_n").agg(F.sum("cn").alias("shared")).where("shared * 2 > n")
+    return shared.groupBy("prefecture").agg(F.max(F.struct("_n", "_prefecture")).getField("_prefecture").alias("_prefecture"))
+
+
 def gazetteer(parsed: DataFrame) -> DataFrame:
     """(prefecture, city, town, n, chome_share): the places that addresses with all three parts name.
 
-    Counts are over distinct address texts.  City spellings are clustered within prefectures, then town spellings
+    Counts are over distinct address texts.  A prefecture is folded into another only as its misspelling, however rare
+    it is.  City spellings are clustered within prefectures, then town spellings
     within localities; a rare spelling one edit from a frequent one is a variant of it.
     """
     full = parsed.where("prefecture <> '' and city <> '' and town <> ''")
     counted = full.groupBy("prefecture", "city", "town").agg(F.count("*").alias("n"), F.count_if(F.col("chome") | (F.size("numbers") >= 3)).alias("c"), F.count_if(F.size("numbers") >= 1).alias("m"))
-    prefectures = counted.groupBy("prefecture").agg(F.sum("n").alias("pn"))
-    # a prefecture spelled wrongly is far rarer than any that exists
-    most = prefectures.agg(F.max("pn").alias("most"))
-    real = prefectures.crossJoin(F.broadcast(most)).where("pn * 50 >= most").select("prefecture")
-    counted = counted.join(real, "prefecture")
+    prefectures = _canonical_prefectures(counted)
+    counted = counted.join(prefectures, "prefecture", "left").groupBy(F.coalesce("_prefecture", "prefecture").alias("prefecture"), "city", "town").agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.sum("m").alias("m"))
     cities = _canonical(counted.groupBy("prefecture", "city").agg(F.sum("n").alias("n")), ["prefecture"], "city").select("prefecture", "city", F.col("canonical").alias("_city"))
     located = counted.join(cities, ["prefecture", "city"]).groupBy("prefecture", F.col("_city").alias("city"), "town").agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.sum("m").alias("m"))
     towns = _canonical(located.select("prefecture", "city", "town", "n"), ["prefecture", "city"], "town").select("prefecture", "city", "town", F.col("canonical").alias("_town"))

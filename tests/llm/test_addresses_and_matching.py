@@ -1,6 +1,6 @@
 import pytest
 
-from machiya.llm.addresses import edits, houses_by_address, parsed_addresses, same_house_number, split_address
+from machiya.llm.addresses import edits, gazetteer, houses_by_address, parsed_addresses, same_house_number, split_address
 from machiya.llm.matching import candidates, house_clusters, match_probabilities
 
 SPLITS = {
@@ -53,6 +53,15 @@ def test_houses_of_crowded_number(spark):
     assert same_house_number(df, "id", ["address"]).count() == 39 * 38 // 2
 
 
+def test_rare_prefectures_stay_and_misspelled_ones_are_folded(spark):
+    data = [(f"n{i:03}", f"翠嶺県若鳩市鶴舞ケ原{i}-1") for i in range(1, 200)] + [("r1", "汐見県青樹市芹東沢7-1"), ("r2", "汐見県青樹市芹東沢7番地1"), ("r3", "青樹市芹東沢7の1")]
+    data += [("w", "翠領県若鳩市鶴舞ケ原5番地1"), ("o1", "翠里県深汐市本通3-1"), ("o2", "翠里県深汐市本通3番地1")]
+    df = spark.createDataFrame(data, "id string, address string")
+    places = {(r["prefecture"], r["city"]) for r in gazetteer(parsed_addresses(df, "address")).collect()}
+    assert places == {("翠嶺県", "若鳩市"), ("汐見県", "青樹市"), ("翠里県", "深汐市")}
+    assert {tuple(r) for r in same_house_number(df, "id", ["address"]).collect()} == {("r1", "r2"), ("r1", "r3"), ("r2", "r3"), ("n005", "w"), ("o1", "o2")}
+
+
 RECORD = "id string, place string, number string, district bigint, land double, building double, year double"
 
 
