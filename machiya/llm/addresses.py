@@ -17,8 +17,8 @@ from machiya.plans.parallel import evenly
 
 #: A spelling joins another one of its locality when they are one edit apart and the other is so many times as frequent.
 VARIANT_RATIO = 4
-#: Partial readings kept per step of the beam search, and places kept per address.
-BEAM, PLACES = 24, 6
+#: Partial readings kept per step of the beam search.
+BEAM = 24
 #: Cost of a place that only one address text names: it is as likely a slip of another as a place.
 SINGLE = 1.1
 #: Gazetteer entries sent to the tasks at once; a larger gazetteer is searched in blocks of this size.
@@ -171,8 +171,8 @@ class Gazetteer:
                     key = "/".join(entry)
                     slip = SINGLE if self.count[entry] == 1 else 0.0
                     found[key] = min(found.get(key, 99.0), cost + d + slip)
-        best = sorted(found.items(), key=lambda f: f[1])[:PLACES]
-        return [f for f in best if f[1] <= best[0][1] + 0.01] if best else []
+        best = min(found.values(), default=0.0)
+        return sorted((f for f in found.items() if f[1] <= best + 0.01), key=lambda f: (f[1], f[0]))
 
 
 def parsed_addresses(texts: DataFrame, text: str) -> DataFrame:

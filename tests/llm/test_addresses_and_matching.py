@@ -1,6 +1,6 @@
 import pytest
 
-from machiya.llm.addresses import edits, gazetteer, houses_by_address, parsed_addresses, same_house_number, split_address
+from machiya.llm.addresses import Gazetteer, edits, gazetteer, houses_by_address, parsed_addresses, same_house_number, split_address
 from machiya.llm.matching import candidates, house_clusters, match_probabilities
 
 SPLITS = {
@@ -62,6 +62,12 @@ def test_rare_prefectures_stay_and_misspelled_ones_are_folded(spark):
     assert {tuple(r) for r in same_house_number(df, "id", ["address"]).collect()} == {("r1", "r2"), ("r1", "r3"), ("r2", "r3"), ("n005", "w"), ("o1", "o2")}
 
 
+def test_all_tied_places_of_a_town_name():
+    known = Gazetteer([("汐見県", f"{c}市", "本通里", 5) for c in "青白黒赤緑紫銀金藍"] + [("汐見県", "青市", "芹東沢", 5)])
+    assert {p for p, _ in known.resolve("本通里")} == {f"汐見県/{c}市/本通里" for c in "青白黒赤緑紫銀金藍"}
+    assert [p for p, _ in known.resolve("白市本通里")] == ["汐見県/白市/本通里"]
+
+
 RECORD = "id string, place string, number string, district bigint, land double, building double, year double"
 
 
