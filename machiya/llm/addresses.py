@@ -17,6 +17,8 @@ from machiya.plans.parallel import evenly
 
 #: A spelling joins another one of its locality when they are one edit apart and the other is so many times as frequent.
 VARIANT_RATIO = 4
+#: Share of a name's addresses that one misspelling of it has at most; a spelling with clearly more is a name of its own.
+SLIP_SHARE = 0.04
 #: Partial readings kept per step of the beam search.
 BEAM = 24
 #: Cost of a place that only one address text names: it is as likely a slip of another as a place.
@@ -199,11 +201,15 @@ def _deletions(name: Column) -> Column:
 def _canonical(spellings: DataFrame, within: list[str], name: str) -> DataFrame:
     """(within, name, canonical): each spelling with the frequent spelling of its locality that it is a variant of.
 
+    A variant is at most as frequent as slips of the other are; neighbouring names that are only rarer stay apart.
+
     ``spellings`` has (within, name, n).  Pairs come from shared deletions, so none are compared but near ones.
     """
     keyed = spellings.where(F.length(name) >= 3).select(*within, name, "n", F.explode(_deletions(F.col(name))).alias("d"))
     other = keyed.select(*[F.col(w).alias(f"_{w}") for w in within], F.col(name).alias("_name"), F.col("n").alias("_n"), F.col("d").alias("_d"))
-    on = (F.col("d") == F.col("_d")) & (F.col("_n") >= VARIANT_RATIO * F.col("n"))
+    # as many as slips bring, and two deviations; a single one is never too many
+    slips = F.greatest(F.lit(1.0), SLIP_SHARE * F.col("_n") + 2 * F.sqrt(SLIP_SHARE * F.col("_n")))
+    on = (F.col("d") == F.col("_d")) & (F.col("_n") >= VARIANT_RATIO * F.col("n")) & (F.col("n") <= slips)
     for w in within:
         on = on & (F.col(w) == F.col(f"_{w}"))
     near = keyed.join(other, on).groupBy(*within, name).agg(F.max(F.struct("_n", "_name")).getField("_name").alias("canonical"))

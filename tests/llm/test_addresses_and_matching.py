@@ -68,6 +68,13 @@ def test_all_tied_places_of_a_town_name():
     assert [p for p, _ in known.resolve("白市本通里")] == ["汐見県/白市/本通里"]
 
 
+def test_rarer_neighbours_are_no_misspellings(spark):
+    data = [(f"e{i:03}", f"汐見県青樹市東芹沢{i}-1") for i in range(1, 101)] + [(f"w{i:02}", f"汐見県青樹市西芹沢{i}-1") for i in range(1, 21)] + [(f"x{i}", f"汐見県青樹市東芹択{i}番地1") for i in range(1, 4)]
+    df = spark.createDataFrame(data, "id string, address string")
+    assert {r["town"] for r in gazetteer(parsed_addresses(df, "address")).collect()} == {"東芹沢", "西芹沢"}
+    assert {tuple(r) for r in same_house_number(df, "id", ["address"]).collect()} == {(f"e{i:03}", f"x{i}") for i in range(1, 4)}
+
+
 RECORD = "id string, place string, number string, district bigint, land double, building double, year double"
 
 
