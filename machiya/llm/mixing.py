@@ -19,6 +19,10 @@ from machiya.plans.parallel import spread
 BLOCK, SHARD_SLOTS = 256, 1024
 #: Least number of hash buckets by which a source's texts are numbered; no task holds more than one bucket of one source.
 BUCKETS = 64
+#: Runs of neighbouring shards whose draws are summed first; a bound, so that the sums before each run are a few rows.
+RUNS = 4_096
+#: Standard errors of a source's drawn slots by which its supply may lie above them and still be held to the exact bound.
+ALLOWANCE = 6.0
 
 
 @lru_cache(maxsize=4)
@@ -115,28 +119,44 @@ def plan(texts: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFrame:
 def draw_slots(planned: DataFrame, block: int = BLOCK, slots: int = SHARD_SLOTS, seed: int = 17) -> DataFrame:
     """(shard, source, first, count): how many slots each shard gives each source, and the ordinal of the first.
 
-    Each shard draws its counts from the multinomial of the target shares, seeded by its number.  One row per shard
-    and source; the slots themselves are never listed in one place.
+    Each shard draws its counts from the multinomial of the target shares, seeded by its number: a pure function of the
+    shard, so it is drawn twice instead of being gathered.  First every run of neighbouring shards (at most ``RUNS`` of
+    them, however many shards there are) adds up its draws; the sums of the runs before are at most ``RUNS`` rows a source;
+    then each shard counts on from its run's sum.  No task holds a source's shards, and none are shuffled.
     """
     spark = planned.sparkSession
     rows = planned.select("source", "share", "allTokens").orderBy("source").collect()  # one row per target source
     names, shares = [r[0] for r in rows], np.array([r[1] for r in rows], dtype=float)
     total = -(-int(rows[0][2]) // block) if rows else 0
-    schema = "shard bigint, source string, count bigint"
+    schema = "shard bigint, source string, first bigint, count bigint"
     if not total or shares.sum() <= 0:
-        empty = spark.createDataFrame([], schema)
-        return empty.withColumn("first", F.lit(0).cast("bigint")).select("shard", "source", "first", "count")
+        return spark.createDataFrame([], schema)
+    shards = -(-total // slots)
+    runs = min(RUNS, shards)
+    width = -(-shards // runs)
+    chances = shares / shares.sum()
 
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def drawn(run: int) -> tuple[np.ndarray, np.ndarray]:
+        mine = np.arange(run * width, min(shards, (run + 1) * width))
+        return mine, np.array([np.random.default_rng((seed, int(n))).multinomial(min(slots, total - int(n) * slots), chances) for n in mine]).reshape(len(mine), len(names))
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for run in batch["id"]:
+                yield pd.DataFrame({"run": int(run), "at": np.arange(len(names)), "sum": drawn(int(run))[1].sum(axis=0)})
+
+    def count_on(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for shard in batch["id"]:
-                size = min(slots, total - int(shard) * slots)
-                counts = np.random.default_rng((seed, int(shard))).multinomial(size, shares / shares.sum())
-                yield pd.DataFrame({"shard": int(shard), "source": names, "count": counts})
+            for run, before in zip(batch["run"], batch["before"]):
+                mine, counts = drawn(int(run))
+                first = np.cumsum(counts, axis=0) - counts + np.array(before, dtype=np.int64)
+                yield pd.DataFrame({"shard": np.repeat(mine, len(names)), "source": names * len(mine), "first": first.reshape(-1), "count": counts.reshape(-1)})
 
-    drawn = spark.range(-(-total // slots)).mapInPandas(draw, schema)
-    before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return drawn.withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0))).select("shard", "source", "first", "count")
+    tasks = min(runs, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    sums = spark.range(0, runs, 1, tasks).mapInPandas(add_up, "run bigint, at int, sum bigint")
+    before = Window.partitionBy("at").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)  # RUNS rows at most
+    offsets = sums.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0))).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("at", "before"))).alias("b"))
+    return offsets.select("run", F.transform("b", lambda x: x["before"]).alias("before")).repartition(tasks, "run").mapInPandas(count_on, schema)
 
 
 def mixed_blocks(planned: DataFrame, drawn: DataFrame, seed: int = 17) -> DataFrame:
@@ -168,10 +188,11 @@ def mixed_blocks(planned: DataFrame, drawn: DataFrame, seed: int = 17) -> DataFr
 
 
 def mix(documents: DataFrame, targets: DataFrame, tokenizer: tuple[str, str] | None = None, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(plan with reached shares, filled slots, text pieces of every block).
+    """(plan with drawn and empty slots and reached shares, filled slots, text pieces of every block).
 
     ``pieces`` is (source, block, digest, from, to): the token ranges of the texts in a block, in order; joined with
-    the slots by source and block it is the mixed corpus.  Reached shares count the tokens of the joined blocks.
+    the slots by source and block it is the mixed corpus.  Reached shares count the tokens of the joined blocks; they
+    scatter by ``standardError`` around the target share, as every slot draws its source.
     Documents of no or another source count towards the size only.
     """
     texts = write_table(token_counts(documents, tokenizer), "tokens").df
@@ -184,9 +205,27 @@ def mix(documents: DataFrame, targets: DataFrame, tokenizer: tuple[str, str] | N
     pieces = spans.select("source", "block", "digest", (lo - F.col("start")).alias("from"), (hi - F.col("start")).alias("to"))
     slots = write_table(mixed_blocks(planned, draw_slots(planned, block)), "slots").df
     sizes = pieces.groupBy("source", "block").agg(F.sum(F.col("to") - F.col("from")).alias("held"))
+    drawn = slots.groupBy("source").agg(F.count("*").alias("drawnSlots"), F.count_if(F.col("block").isNull()).alias("emptySlots"))
     reached = slots.where("block is not null").groupBy("source", "block").agg(F.count("*").alias("uses")).join(sizes, ["source", "block"]).groupBy("source").agg(F.sum(F.col("uses") * F.col("held")).alias("reachedTokens"))
     all_reached = reached.agg(F.sum("reachedTokens").alias("all_reached"))
-    report = planned.join(reached, "source", "left").crossJoin(F.broadcast(all_reached))
-    report = report.withColumn("reachedTokens", F.coalesce("reachedTokens", F.lit(0))).withColumn("reachedShare", F.coalesce(F.try_divide("reachedTokens", "allTokens"), F.lit(0.0)))
+    report = planned.join(drawn, "source", "left").join(reached, "source", "left").crossJoin(F.broadcast(all_reached))
+    report = report.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("drawnSlots", "emptySlots", "reachedTokens")})
+    report = report.withColumn("reachedShare", F.coalesce(F.try_divide("reachedTokens", "allTokens"), F.lit(0.0)))
     report = report.withColumn("shareOfMix", F.coalesce(F.try_divide("reachedTokens", "all_reached"), F.lit(0.0)))
+    # of a share drawn slot by slot
+    slot_count = F.greatest(F.ceil(F.col("allTokens") / block), F.lit(1))
+    report = report.withColumn("standardError", F.sqrt(F.col("share") * (1 - F.col("share")) / slot_count))
     return report.drop("all_reached"), slots, pieces
+
+
+def short_sources(report: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(source): sources whose slots the mix leaves empty because they cannot reach their share.
+
+    Slots are drawn at random, so near its bound a source may by chance be spared empty slots: one whose filled slots
+    reach its supply within ``ALLOWANCE`` standard errors of the draw is held to the exact token bound as well, which also
+    settles the ones with empty slots that a generous draw alone has emptied.  A share above 0 without any text is short.
+    """
+    filled = F.col("drawnSlots") - F.col("emptySlots")
+    slack = ALLOWANCE * F.col("standardError") * F.greatest(F.ceil(F.col("allTokens") / block), F.lit(1)) + F.col("max_repeats") + 1
+    near = (F.col("emptySlots") > 0) | (filled + slack >= F.col("blocks") * F.col("max_repeats"))
+    return report.where(near & ~F.col("reachable")).select("source")

@@ -10,10 +10,10 @@ from machiya.llm.addresses import gazetteer, located_addresses, located_records,
 from machiya.llm.components import linking_rows, listing_groups
 from machiya.llm.leakage import leaked_passages
 from machiya.llm.matching import BELIEF, candidates, house_clusters, house_values, joined_houses, match_probabilities
-from machiya.llm.mixing import mix
+from machiya.llm.mixing import mix, short_sources
 from machiya.llm.percentiles import merge_counts, percentiles, value_counts
-from machiya.llm.survivors import completeness, current_values, surviving_fields, value_levels
-from machiya.llm.truncation import length_limits, truncated_texts
+from machiya.llm.survivors import completeness, current_values, surviving_fields, value_levels, value_precedence, with_levels
+from machiya.llm.truncation import field_lengths, length_limits, truncated_texts
 from machiya.operators.quantities import quantity
 from machiya.plans.durable import write_table
 from machiya.sources.tables import table
@@ -28,26 +28,51 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 SURVIVOR_FIELDS = ["address", "landAreaM2", "buildingAreaM2", "constructionYear", "layout", "priceYen"]
 
 
+#: Fields whose values follow one another over the snapshots.
+CHANGING = ["status", "missedSearchRuns"]
+
+
+def _clean_status(df: DataFrame) -> DataFrame:
+    return df.withColumn("status", F.lower(F.regexp_replace("status", r"^[\s　]+|[\s　]+$", "")))
+
+
 def _members(spark: SparkSession, folder: str) -> DataFrame:
     """Group members that are in the listings, with the reading of the latest snapshot that has them."""
     pairs = table(spark, folder, "duplicate_review_candidates")
     groups = listing_groups(pairs)
-    reading = F.max(F.struct("snapshotSeq", F.col("lastSeenAt").isNotNull().alias("seen"), "lastSeenAt", *SURVIVOR_FIELDS, "status")).alias("r")
+    reading = F.max(F.struct("snapshotSeq", F.col("lastSeenAt").isNotNull().alias("seen"), "lastSeenAt", *SURVIVOR_FIELDS, *CHANGING)).alias("r")
     last = table(spark, folder, "discovered_listings").where("propertyId is not null").groupBy("propertyId").agg(reading).select("propertyId", "r.*")
-    return groups.join(last, "propertyId").join(completeness(linking_rows(pairs)), "propertyId", "left")
+    return _clean_status(groups.join(last, "propertyId").join(completeness(linking_rows(pairs)), "propertyId", "left"))
+
+
+def _history(spark: SparkSession, folder: str) -> DataFrame:
+    return _clean_status(table(spark, folder, "discovered_listings").select("propertyId", "lastSeenAt", *CHANGING))
+
+
+def _survivors(spark: SparkSession, folder: str) -> DataFrame:
+    levels = value_levels(_history(spark, folder), "propertyId", CHANGING, "lastSeenAt")
+    members = with_levels(_members(spark, folder), CHANGING, levels)
+    return surviving_fields(members, "groupId", "propertyId", SURVIVOR_FIELDS, "completeness", "lastSeenAt", [f"{c}_level" for c in CHANGING])
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    return surviving_fields(_members(spark, folder), "groupId", "propertyId", SURVIVOR_FIELDS, "completeness", "lastSeenAt")
+    return _survivors(spark, folder).select("groupId", "fieldName", F.col("stated").alias("propertyId"))
+
+
+def p4_current_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """The suppliers of each field where learned precedence, not the smallest id, orders members without a time."""
+    return _survivors(spark, folder).select("groupId", "fieldName", F.col("current").alias("propertyId"), "basis")
+
+
+def p4_precedence(spark: SparkSession, folder: str) -> DataFrame:
+    """Which statuses and missed runs follow which, with the transitions both ways, and what was concluded."""
+    return value_precedence(_history(spark, folder), "propertyId", CHANGING, "lastSeenAt")
 
 
 def p4_current_status(spark: SparkSession, folder: str) -> DataFrame:
     """The current status of each group; where members have no time, by the order in which statuses follow one another."""
-    clean = F.lower(F.regexp_replace("status", r"^[\s　]+|[\s　]+$", ""))
-    history = table(spark, folder, "discovered_listings").select("propertyId", "lastSeenAt", clean.alias("status"))
-    levels = value_levels(history, "propertyId", "status", "lastSeenAt")
-    members = _members(spark, folder).withColumn("status", clean)
-    return current_values(members, "groupId", "propertyId", "status", "lastSeenAt", levels)
+    levels = value_levels(_history(spark, folder), "propertyId", ["status"], "lastSeenAt").drop("field")
+    return current_values(_members(spark, folder), "groupId", "propertyId", "status", "lastSeenAt", levels)
 
 
 def _sale_counts(spark: SparkSession, folder: str, *groups: str, relative_error: float = 0.0) -> DataFrame:
@@ -73,6 +98,21 @@ def p5_merged_loads(spark: SparkSession, folder: str) -> DataFrame:
     return percentiles(merge_counts(quarters), ["_cityName", "fieldName"], (0.5,))
 
 
+def p5_merged_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact medians per city beside the merged ones of ``p5_merged_loads``: whether each keeps its stated error."""
+    keys = ["_cityName", "fieldName"]
+    exact = percentiles(_sale_counts(spark, folder, "_cityName", "_period").groupBy(*keys, "value").agg(F.sum("rows").alias("rows")), keys, (0.5,))
+    merged = p5_merged_loads(spark, folder).select(*keys, F.col("percentile").alias("merged"))
+    within = F.abs(F.col("merged") - F.col("percentile")) <= F.col("percentile") * (0.01 + 1e-9)
+    return exact.join(merged, keys).select(*keys, "rows", F.col("percentile").alias("median"), within.alias("withinError"))
+
+
+def p5_order_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles of line prices per flag and status: few groups of very many different values."""
+    counts = value_counts(table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice")
+    return percentiles(counts, ["l_returnflag", "l_linestatus"], SHARES)
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     groups = ["_cityName", "_period", "fieldName"]
     out = percentiles(_sale_counts(spark, folder, "_cityName", "_period"), groups, (0.5, 0.9)).where("rows >= 20")
@@ -146,7 +186,7 @@ def _mix(spark: SparkSession, folder: str):
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _mix(spark, folder)[0].where(~F.col("reachable")).select("source")
+    return short_sources(_mix(spark, folder)[0])
 
 
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
@@ -165,17 +205,17 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
-    """Per source: texts, cut texts, and how many of them at a length limit."""
+    """Per source: texts, cut texts, and how many of them were cut at a length limit, in transfer, in markup."""
     docs = table(spark, folder, "documents")
-    cut = truncated_texts(docs).groupBy("source").agg(F.count("*").alias("cutTexts"), F.count_if("at_limit").alias("cutAtLimit"))
-    rates = docs.where("text is not null").groupBy(F.col("source").alias("s")).agg(F.count("*").alias("texts")).join(cut, F.col("s").eqNullSafe(F.col("source")), "left")
-    return rates.select(F.col("s").alias("source"), "texts", F.coalesce("cutTexts", F.lit(0)).alias("cutTexts"), F.coalesce("cutAtLimit", F.lit(0)).alias("cutAtLimit"), (F.coalesce("cutTexts", F.lit(0)) / F.col("texts")).alias("rate"))
+    cut = truncated_texts(docs).groupBy(F.col("source").alias("s")).agg(F.count("*").alias("cut"), *[F.count_if(F.col("kind") == k).alias(k) for k in ("limit", "transfer", "markup")])
+    rates = docs.where("text is not null").groupBy("source").agg(F.count("*").alias("texts")).join(cut, F.col("s").eqNullSafe(F.col("source")), "left")
+    n = lambda c: F.coalesce(c, F.lit(0))
+    return rates.select("source", "texts", n("cut").alias("cutTexts"), n("limit").alias("cutAtLimit"), n("transfer").alias("cutInTransfer"), n("markup").alias("cutInMarkup"), (n("cut") / F.col("texts")).alias("rate"))
 
 
 def p10_limits(spark: SparkSession, folder: str) -> DataFrame:
     """Lengths at which the texts of a source stop too often."""
-    whole = F.regexp_replace("text", "\ufffd+$", "")
-    docs = table(spark, folder, "documents").where("text is not null").select("source", F.xxhash64("text").alias("digest"), F.length(whole).alias("chars"), F.octet_length(whole).alias("bytes"))
+    docs = table(spark, folder, "documents").where("text is not null").select("source", F.xxhash64("text").alias("digest"), *[c.alias(n) for n, c in field_lengths(F.col("text")).items()])
     return length_limits(docs.dropDuplicates(["source", "digest"]), {"chars": F.col("chars"), "bytes": F.col("bytes")})
 
 
@@ -194,7 +234,20 @@ numbers AS (
   FROM cells)
 """
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_matches": p2_matches, "p6_found": p6_found, "p4_found": p4_found, "p4_current_status": p4_current_status, "p5_percentiles": p5_percentiles, "p5_merged_loads": p5_merged_loads, "p5_found": p5_found,
+_PRECEDENCE = """
+seen AS (SELECT propertyId, lastSeenAt AS t, lower(regexp_replace(status, '^[\\s　]+|[\\s　]+$', '', 'g')) AS status, missedSearchRuns::VARCHAR AS missedSearchRuns FROM discovered_listings WHERE propertyId IS NOT NULL AND lastSeenAt IS NOT NULL),
+hist AS (SELECT 'status' AS field, propertyId AS k, t, status AS v FROM seen WHERE status IS NOT NULL UNION SELECT 'missedSearchRuns', propertyId, t, missedSearchRuns FROM seen WHERE missedSearchRuns IS NOT NULL),
+step AS (SELECT field, lag(v) OVER (PARTITION BY field, k ORDER BY t, v) AS a, v AS b FROM hist),
+cnt AS (SELECT field, a, b, count(*) AS n FROM step WHERE a IS NOT NULL AND a <> b GROUP BY ALL),
+flow AS (SELECT field, v, sum(n * d) / sum(n) AS late FROM (SELECT field, a AS v, 0 AS d, n FROM cnt UNION ALL SELECT field, b, 1, n FROM cnt) GROUP BY ALL),
+prec AS (SELECT c.field, c.a AS before, c.b AS after, c.n, coalesce(r.n, 0) AS reverse,
+        CASE WHEN c.n < 3 THEN 'support' WHEN c.n < 0.6 * (c.n + coalesce(r.n, 0)) THEN 'majority' WHEN fa.late >= fb.late THEN 'direction' ELSE 'kept' END AS verdict
+    FROM cnt c LEFT JOIN cnt r ON r.field = c.field AND r.a = c.b AND r.b = c.a JOIN flow fa ON fa.field = c.field AND fa.v = c.a JOIN flow fb ON fb.field = c.field AND fb.v = c.b)"""
+_MEMBER = """
+grp AS (SELECT min(other) AS groupId, node AS propertyId FROM reach GROUP BY node),
+last AS (SELECT * FROM discovered_listings QUALIFY row_number() OVER (PARTITION BY propertyId ORDER BY snapshotSeq DESC, lastSeenAt DESC NULLS LAST) = 1)"""
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_matches": p2_matches, "p6_found": p6_found, "p4_found": p4_found, "p4_current_fields": p4_current_fields, "p4_precedence": p4_precedence, "p4_current_status": p4_current_status, "p5_percentiles": p5_percentiles, "p5_merged_loads": p5_merged_loads, "p5_merged_check": p5_merged_check, "p5_order_prices": p5_order_prices, "p5_found": p5_found,
     "p8_found": p8_found, "p8_leaked_items": p8_leaked_items, "p9_found": p9_found, "p9_shares": p9_shares, "p9_mixed_texts": p9_mixed_texts,
     "p10_found": p10_found, "p10_rates": p10_rates, "p10_limits": p10_limits}
 
@@ -216,10 +269,24 @@ SQL = {
             UNION ALL SELECT groupId, propertyId, rk, 'layout', trim(layout) NOT IN ('', '-', '不明', '0') FROM member
             UNION ALL SELECT groupId, propertyId, rk, 'priceYen', priceYen <> 0 FROM member)
         SELECT groupId, fieldName, arg_min(propertyId, rk) AS propertyId FROM cell WHERE ok GROUP BY groupId, fieldName""",
+    "p4_precedence": f"WITH {_PRECEDENCE} SELECT * FROM prec",
+    "p4_current_status": f"""WITH RECURSIVE {_LINKS}, {_MEMBER}, {_PRECEDENCE},
+        chain AS (SELECT after AS v, 1 AS level FROM prec WHERE verdict = 'kept' AND field = 'status' UNION SELECT p.after, c.level + 1 FROM chain c JOIN prec p ON p.before = c.v AND p.verdict = 'kept' AND p.field = 'status'),
+        level AS (SELECT v, max(level) AS level FROM chain GROUP BY v),
+        m AS (SELECT groupId, propertyId, lastSeenAt AS t, lower(regexp_replace(status, '^[\\s　]+|[\\s　]+$', '', 'g')) AS v FROM grp JOIN last USING (propertyId)),
+        mem AS (SELECT m.*, coalesce(level.level, 0) AS level FROM m LEFT JOIN level USING (v) WHERE v IS NOT NULL),
+        timed AS (SELECT * FROM mem WHERE t IS NOT NULL QUALIFY row_number() OVER (PARTITION BY groupId ORDER BY t DESC, propertyId) = 1),
+        untimed AS (SELECT * FROM mem WHERE t IS NULL QUALIFY row_number() OVER (PARTITION BY groupId ORDER BY level DESC, propertyId) = 1),
+        b AS (SELECT coalesce(a.groupId, u.groupId) AS groupId, a.groupId IS NULL OR coalesce(u.level, -1) > a.level AS after, a.propertyId AS ap, a.v AS av, u.propertyId AS up, u.v AS uv FROM timed a FULL JOIN untimed u ON a.groupId = u.groupId)
+        SELECT groupId, CASE WHEN after THEN up ELSE ap END AS propertyId, CASE WHEN after THEN uv ELSE av END AS value, CASE WHEN after THEN 'precedence' ELSE 'time' END AS basis FROM b""",
     "p5_percentiles": f"""WITH {_NUMBERS}
         SELECT _cityName, _period, fieldName, rows, unnest([0.1, 0.25, 0.5, 0.75, 0.9]::DOUBLE[]) AS share, unnest(ps) AS percentile
         FROM (SELECT _cityName, _period, fieldName, count(*) AS rows, quantile_cont(x, [0.1, 0.25, 0.5, 0.75, 0.9]) AS ps
               FROM numbers WHERE x > 0 GROUP BY _cityName, _period, fieldName)""",
+    "p5_merged_check": f"""WITH {_NUMBERS}
+        SELECT _cityName, fieldName, count(*) AS rows, quantile_cont(x, 0.5) AS median, true AS withinError FROM numbers WHERE x > 0 GROUP BY _cityName, fieldName""",
+    "p5_order_prices": """SELECT l_returnflag, l_linestatus, rows, unnest([0.1, 0.25, 0.5, 0.75, 0.9]::DOUBLE[]) AS share, unnest(ps) AS percentile
+        FROM (SELECT l_returnflag, l_linestatus, count(*) AS rows, quantile_cont(l_extendedprice, [0.1, 0.25, 0.5, 0.75, 0.9]) AS ps FROM lineitem GROUP BY ALL)""",
     "p5_found": f"""WITH {_NUMBERS}
         SELECT _cityName, _period, fieldName FROM numbers WHERE x > 0 GROUP BY ALL
         HAVING count(*) >= 20 AND quantile_cont(x, 0.9) >= 3 * quantile_cont(x, 0.5)""",

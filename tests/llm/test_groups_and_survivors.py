@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from machiya.llm.components import connected_groups, listing_groups
-from machiya.llm.survivors import completeness, current_values, surviving_fields, value_levels
+from machiya.llm.survivors import completeness, current_values, surviving_fields, value_levels, value_precedence, with_levels
 
 
 def union_find(edges):
@@ -66,9 +66,38 @@ def test_surviving_fields(spark):
         ("g1", "b", 3, day(2), "-", 0.0, "不明", 5), ("g1", "a", 3, day(2), "", float("nan"), None, None), ("g1", "c", 3, None, "x", 10.0, " ", 7), ("g1", "d", None, day(9), "y", 9.0, "0", 0),
         ("g2", "e", None, None, None, None, None, None), (None, "z", 4, day(1), "q", 1.0, "1K", 1),
     ]
-    out = surviving_fields(spark.createDataFrame(data, MEMBER), "g", "id", ["address", "land", "layout", "price"], "c", "seen")
-    assert sorted(map(tuple, out.collect())) == [("g1", "address", "c"), ("g1", "land", "c"), ("g1", "price", "b"), ("g1", "record", "a"), ("g2", "record", "e")]
-    assert surviving_fields(spark.createDataFrame([], MEMBER), "g", "id", ["price"], "c", "seen").count() == 0
+    members = spark.createDataFrame(data, MEMBER).withColumn("level", F.when(F.col("id") == "c", 2).otherwise(1)).withColumn("fieldName", F.lit("clash"))
+    out = surviving_fields(members, "g", "id", ["address", "land", "layout", "price"], "c", "seen", ["level"])
+    rows = sorted(map(tuple, out.collect()))
+    assert [(g, f, s) for g, f, s, _, _ in rows] == [("g1", "address", "c"), ("g1", "land", "c"), ("g1", "price", "b"), ("g1", "record", "a"), ("g2", "record", "e")]
+    # by learned precedence c, which has no time but a later value, comes after a and b
+    assert [(f, c, b) for g, f, _, c, b in rows if g == "g1"] == [("address", "c", "completeness"), ("land", "c", "completeness"), ("price", "c", "precedence"), ("record", "c", "precedence")]
+    assert surviving_fields(members.limit(0), "g", "id", ["price"], "c", "seen", ["level"]).count() == 0
+
+
+def test_hidden_times_are_recovered_by_precedence(spark):
+    """Held out: one member of each group loses its time; the latest is still found where its values say so."""
+    rng = random.Random(3)
+    chain = ["new", "seen", "old", "gone"]
+    day = lambda n: datetime(2026, 1, 1 + n)
+    history = [(f"h{i}", v, day(n)) for i in range(30) for n, v in enumerate(chain[rng.randint(0, 2) :])]
+    groups, true = [], {}
+    for g in range(60):
+        at = sorted(rng.sample(range(4), 2))
+        true[f"g{g:02}"] = f"m{g:02}b"
+        hidden = rng.randint(0, 1)
+        groups += [(f"g{g:02}", f"m{g:02}{'ab'[n]}", 1, None if n == hidden else day(4 * g % 20 + n), chain[at[n]]) for n in (0, 1)]
+    levels = value_levels(spark.createDataFrame(history, "k string, v string, t timestamp"), "k", ["v"], "t")
+    members = with_levels(spark.createDataFrame(groups, "g string, id string, c int, seen timestamp, v string"), ["v"], levels)
+    out = {r["g"]: r["current"] for r in surviving_fields(members, "g", "id", [], "c", "seen", ["v_level"]).collect()}
+    assert sum(out[g] == m for g, m in true.items()) >= 0.95 * len(true)
+
+
+def test_precedence_reports_what_it_leaves_out(spark):
+    day = lambda n: datetime(2026, 1, n)
+    rows = [(f"a{i}", v, day(n)) for i in range(5) for n, v in ((1, "x"), (2, "y"))] + [("b", "y", day(1)), ("b", "x", day(2)), ("c", "x", day(1)), ("c", "z", day(3))]
+    got = {(r["before"], r["after"]): (r["n"], r["reverse"], r["verdict"]) for r in value_precedence(spark.createDataFrame(rows, "k string, v string, t timestamp"), "k", ["v"], "t").collect()}
+    assert got == {("x", "y"): (5, 1, "kept"), ("y", "x"): (1, 5, "support"), ("x", "z"): (1, 0, "support")}
 
 
 def test_levels_and_current_values(spark):
@@ -77,9 +106,9 @@ def test_levels_and_current_values(spark):
     for i in range(6):
         history += [(f"p{i}", "new", day(1)), (f"p{i}", "old", day(2)), (f"p{i}", "gone", day(3)), (f"p{i}", "gone", day(3))]
     history += [("q", "gone", day(1)), ("q", "new", day(2)), ("r", None, day(1)), ("r", "new", None)]
-    levels = value_levels(spark.createDataFrame(history, "k string, v string, t timestamp"), "k", "v", "t")
+    levels = value_levels(spark.createDataFrame(history, "k string, v string, t timestamp"), "k", ["v"], "t").drop("field")
     assert {r["value"]: r["level"] for r in levels.collect()} == {"new": 0, "old": 1, "gone": 2}
     members = [("g1", "a", "new", day(5)), ("g1", "b", "gone", None), ("g2", "c", "gone", day(1)), ("g2", "d", "old", None), ("g3", "f", "old", None), ("g3", "e", "old", None), ("g4", "h", None, day(1)), ("g5", "i", "odd", None)]
     out = current_values(spark.createDataFrame(members, "g string, k string, v string, t timestamp"), "g", "k", "v", "t", levels)
     assert sorted(map(tuple, out.collect())) == [("g1", "b", "gone", "precedence"), ("g2", "c", "gone", "time"), ("g3", "e", "old", "precedence"), ("g5", "i", "odd", "precedence")]
-    assert value_levels(spark.createDataFrame([], "k string, v string, t timestamp"), "k", "v", "t").count() == 0
+    assert value_levels(spark.createDataFrame([], "k string, v string, t timestamp"), "k", ["v"], "t").count() == 0

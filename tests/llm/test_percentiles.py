@@ -13,8 +13,9 @@ def table(spark, data):
     return spark.createDataFrame(data, "g string, h string, value double")
 
 
-def test_matches_numpy_and_merges(spark, monkeypatch):
-    monkeypatch.setattr(P, "FEW", 4)  # so that several rounds are needed
+@pytest.mark.parametrize("hot", [100_000, 50])
+def test_matches_numpy_and_merges(spark, monkeypatch, hot):
+    monkeypatch.setattr(P, "HOT_VALUES", hot)  # with 50, the largest group is split by buckets
     rng = random.Random(5)
     data = [("big", "x", rng.lognormvariate(3, 1)) for _ in range(700)] + [("ties", "x", float(rng.choice([1, 2, 2, 2, 50]))) for _ in range(90)] + [("one", None, 7.0)]
     data += [("big", "x", None), ("big", "x", float("nan")), ("neg", "x", -3.0), ("neg", "x", 0.0)]

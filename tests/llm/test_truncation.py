@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from machiya.llm.truncation import length_limits, tail_of, truncated_texts
+from machiya.llm.truncation import binomial_tail, discovery_threshold, examples, field_lengths, length_hazards, length_limits, tail_of, truncated_texts
 
 WORDS = "house garden river window kitchen station quiet sunny street market corner school bridge harbour meadow window".split()
 CLOSING = ["Ref 12-3", "Branch 4", "- city gas", "- 3 parking spaces", "END OF NOTE"]
@@ -24,10 +24,45 @@ def test_tails():
     assert tail_of("One. Two.") == ("stop", "") and tail_of("終わり。") == ("stop", "") and tail_of("いいね！」") == ("stop", "") and tail_of("") == ("stop", "") and tail_of("  \n") == ("stop", "")
     assert tail_of("One. Two") == ("open", "Two") and tail_of("One.\nTwo") == ("open", "\nTwo") and tail_of("幅員6.") == ("open", "\n幅員6.")
     for cut in ("文字�", "<p>One.</p><p", "<p>One.</p>\n<p>Two.", "One.</p>&nb", "One.<", "One.</"):
-        assert tail_of(cut)[0] == "cut", cut
+        assert tail_of(cut)[0] == "markup", cut
+    # inline tags, and blocks that the text never closes, say nothing; a mark of a cut ends no sentence
+    assert tail_of("床は<b>無垢材です。") == ("stop", "") and tail_of("<p>One.<p>Two.") == ("stop", "") and tail_of("<p>One.</p><p>Two")[0] == "markup"
+    assert tail_of("One. Two th…") == ("open", "Two th") and tail_of("One. Two th...") == ("open", "Two th") and tail_of("One. Two.…") == ("stop", "") and tail_of("…") == ("stop", "")
     assert tail_of("<p>One.</p>\n<p>Two.</p>") == ("stop", "") and tail_of("<p>One.&nbsp;</p>") == ("stop", "")
 
 
+def test_binomial_tail_and_threshold(spark):
+    from math import comb
+
+    for k, n, h in ((3, 10, 0.1), (40, 1000, 0.01), (10, 10, 0.2), (5, 200, 0.001)):
+        assert abs(binomial_tail(k, n, h) - sum(comb(n, i) * h**i * (1 - h) ** (n - i) for i in range(k, n + 1))) < 1e-12
+    assert binomial_tail(1, 100, 0.5) == 1.0 and binomial_tail(0, 0, 0.1) == 1.0
+    rng = random.Random(4)
+    ps = [rng.random() for _ in range(300)] + [rng.random() * 1e-4 for _ in range(12)]
+    ranked = sorted(ps)
+    best = max((p for i, p in enumerate(ranked, 1) if p <= 0.05 * i / len(ps)), default=None)
+    bound = discovery_threshold(spark.createDataFrame([(p,) for p in ps], "p double"))
+    assert [p for p in ps if p <= bound] and max(p for p in ps if p <= bound) == best
+    assert discovery_threshold(spark.createDataFrame([(0.9,), (0.8,)], "p double")) is None
+
+
+def test_hazards_match_brute_force(spark):
+    rng = random.Random(8)
+    xs = [rng.randint(1, 90) for _ in range(400)] + [40] * 20
+    got = {r["length"]: r for r in length_hazards(spark.createDataFrame([(None, x) for x in xs], "source string, n int"), {"chars": F.col("n")}).collect()}
+    assert set(got) == set(xs)
+    for at, r in got.items():
+        around = [x for x in range(max(1, at - 20), at + 21) if x != at]
+        ends, risk = sum(x in around for x in xs), sum(sum(x >= a for x in xs) for a in around)
+        assert r["at_risk"] == sum(x >= at for x in xs) and abs(r["near_hazard"] - min(0.999, max((ends + 0.5) / (risk + 1), sum(max(1, at - 20) <= x < at for x in xs) / max(1, min(20, at - 1)) / r["at_risk"]))) < 1e-12
+
+
+def test_examples_are_bounded_and_lengths_fold_marks(spark):
+    assert len(examples("\n".join(f"line {i}" for i in range(5000)))) <= 12
+    got = spark.createDataFrame([("abc...",), ("あい\ufffd",), ("ab…",)], "t string").select(*[c.alias(n) for n, c in field_lengths(F.col("t")).items()]).collect()
+    assert [tuple(r) for r in got] == [(4, 3), (2, 6), (3, 2)]
+
+
 def test_held_out_cuts(spark):
     rng = random.Random(11)
     data, cut = [], set()
