@@ -63,25 +63,34 @@ _PREFIX, _ROOT, _EXP, _POW = Trie(PREFIXES), Trie(ROOTS), Trie(EXPONENTS), Trie(
 
 @dataclass(frozen=True)
 class Field:
-    """What a field measures: its dimension and power, the factor of its own unit, and the range values usually lie in.
+    """What a field measures: its dimension and power, its own unit, and the units a bare number in it may be meant in.
 
-    ``scales`` are factors that a bare number may be meant in besides the field's own; ``grain`` is the amount of which
-    usual values are multiples, 0 if there is none.
+    ``units`` are (unit, cost): how unlikely, as a natural log of odds against the own unit, the field's numbers are in it.
+    ``grain`` is the amount of which usual values are multiples, 0 if there is none.
     """
 
     dimension: str
     power: int
-    own: float
-    low: float
-    high: float
-    scales: tuple[float, ...] = ()
+    unit: str
+    units: tuple[tuple[str, float], ...] = ()
     grain: float = 0.0
 
+    @property
+    def own(self) -> float:
+        """Factor of the field's own unit to the base unit (yen, metre)."""
+        return unit_factor(self.unit, self.dimension, self.power)
 
-PRICE_YEN = Field("money", 1, 1.0, 15e6, 250e6, (1e3, 1e4, 1e6), 1e5)
-PRICE_MAN = Field("money", 1, 1e4, 15e6, 250e6, (1.0, 1e3, 1e6), 1e5)
-TRADE_YEN = Field("money", 1, 1.0, 1e4, 1e12)
-AREA_M2 = Field("length", 2, 1.0, 1.0, 1e7)
+    def scales(self) -> list[tuple[float, float]]:
+        """(factor, cost) of every unit its numbers may be in, the own one first."""
+        return [(self.own, 0.0)] + [(unit_factor(u, self.dimension, self.power), c) for u, c in self.units if u != self.unit]
+
+
+#: Prices are written in 円 or 万円; 千円 and 百万円 are rare in this trade.
+_PRICE_UNITS = (("円", 1.0), ("万円", 1.0), ("千円", 5.5), ("百万円", 6.0))
+PRICE_YEN = Field("money", 1, "円", _PRICE_UNITS, 1e5)
+PRICE_MAN = Field("money", 1, "万円", _PRICE_UNITS, 1e5)
+TRADE_YEN = Field("money", 1, "円")
+AREA_M2 = Field("length", 2, "平方メートル")
 
 
 @lru_cache(maxsize=100_000)
@@ -144,6 +153,15 @@ def segment(unit: str, dimension: str, power: int) -> tuple[float, tuple[str, ..
     return min(found, key=lambda f: f[0]) if found else None
 
 
+def unit_factor(unit: str, dimension: str, power: int) -> float:
+    """Factor of a unit to the base unit of its dimension, by its cheapest segmentation."""
+    parsed = segment(unit, dimension, power)
+    if parsed is None:
+        raise ValueError(f"{unit} is no unit of {dimension} to the power {power}")
+    _, words, factor = parsed
+    return math.prod(PREFIXES[w] for w in words) * factor
+
+
 _NUMBER = re.compile(r"[0-9][0-9,]*(?:\.[0-9]+)?|\.[0-9]+|[〇零一二三四五六七八九壱弐参]+")
 _HEAD = re.compile(r"^[\s約およそ計総额額:：≒~〜+]*(?:approx\.?|about|ca\.?|c\.)?\s*", re.IGNORECASE)
 _PARENS = re.compile(r"[(\[【〔（][^)\]】〕）]*[)\]】〕）]?")
@@ -160,21 +178,33 @@ def read_quantity(text: str | None, field: Field) -> float | None:
     """The quantity a text states, in the field's base unit (yen, m²); None when it states none.
 
     Handles digits of any width, kanji numerals, compound sums such as 2億1,210万円, units before or after the number,
-    and a second statement in brackets, which is ignored.  A bare number is in the field's own unit unless only another
-    scale puts it into the usual range.  Zero and negative amounts state no quantity.
+    and a second statement in brackets, which is ignored.  A bare number is in the field's own unit.  Zero and negative
+    amounts state no quantity.
     """
+    return read_statement(text, field)[0]
+
+
+def read_statement(text: str | None, field: Field) -> tuple[float | None, bool]:
+    """(quantity, bare): like ``read_quantity``; bare when the text is a number without any unit or counting word."""
+    number, factor, bare = _statement(text, field)
+    return (None if number is None else number * (field.own if bare else factor)), bare
+
+
+def _statement(text: str | None, field: Field) -> tuple[float | None, float, bool]:
+    """(number, factor, bare) of a text; the number is None when it states no quantity."""
+    nothing = (None, 1.0, False)
     if text is None:
-        return None
+        return nothing
     s = unicodedata.normalize("NFKC", text)
     s = s.replace("−", "-").replace("，", ",")
     s = _HEAD.sub("", _PARENS.sub("", s).strip())
     s = _TAIL.sub("", s)
     if not s or s[0] == "-":
-        return None
+        return nothing
     # a leading unit string, then (number, unit string) pairs; counting words may open a number (千二百)
     first = re.search(r"[0-9]|[〇零一二三四五六七八九壱弐参十百千]", s)
     if first is None:
-        return None
+        return nothing
     lead, at = s[: first.start()].strip(), first.start()
     numbers: list[tuple[float | None, str]] = []
     while at < len(s):
@@ -194,7 +224,7 @@ def read_quantity(text: str | None, field: Field) -> float | None:
     for value, unit in numbers:
         if value is not None:
             if number is not None:
-                return None  # two numbers without a unit between them are no quantity
+                return nothing  # two numbers without a unit between them are no quantity
             number = value
             seen = True
         words: tuple[str, ...] = ()
@@ -204,7 +234,7 @@ def read_quantity(text: str | None, field: Field) -> float | None:
                 # a counting word or unit may be followed by other words: keep the longest readable head
                 cut = next((c for c in range(len(unit) - 1, 0, -1) if segment(unit[:c], field.dimension, field.power)), 0)
                 if not cut:
-                    return None
+                    return nothing
                 parsed = segment(unit[:cut], field.dimension, field.power)
             _, words, f = parsed
             bare = False
@@ -228,16 +258,11 @@ def read_quantity(text: str | None, field: Field) -> float | None:
             break
     value = total + section + (number or 0.0)
     if not seen or value <= 0:
-        return None
+        return nothing
     if lead:
         parsed = segment(lead, field.dimension, field.power)
         if parsed is not None:
             bare, factor = False, parsed[2]
         elif bare and not re.fullmatch(r"[^0-9]*[:：]?", lead):
-            return None
-    if not bare:
-        return value * (factor or 1.0)
-    for scale in (field.own, *field.scales):
-        if field.low <= value * scale <= field.high:
-            return value * scale
-    return value * field.own
+            return nothing
+    return value, factor or 1.0, bare

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from machiya.functions.quantities import AREA_M2, PRICE_MAN, PRICE_YEN
-from machiya.operators.quantities import common_scales, common_units, log_prior
+from machiya.operators.quantities import amount_prior, common_scales, common_units
 from machiya.operators.snapshots import latest_readings, snapshot_changes
 from machiya.sources.tables import table
 
@@ -32,13 +32,13 @@ def p3_changed_fields(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _listing_amounts(listings: DataFrame) -> DataFrame:
-    """(snapshotSeq, recordKey, fieldName, recorded, own, commonValue): the prices of each reading of ``listings`` in yen."""
+    """(snapshotSeq, recordKey, fieldName, recorded, own, commonValue, certain): the prices of each reading of ``listings`` in yen."""
     readings = latest_readings(listings, ["snapshotSeq", "propertyId"], "lastSeenAt", ["priceYen", "priceMan"])
-    prior = log_prior(listings, "priceYen", PRICE_YEN)
+    prior = amount_prior(listings, F.col("priceYen") * PRICE_YEN.own)
     fields = {"priceYen": PRICE_YEN, "priceMan": PRICE_MAN}
     scaled = common_scales(readings.crossJoin(F.broadcast(prior)), fields, F.col("center"), F.col("spread"))
     cells = [
-        F.struct(F.lit(n).alias("fieldName"), F.col(n).cast("double").alias("recorded"), F.lit(f.own).alias("own"), F.col(f"{n}_common").alias("commonValue"))
+        F.struct(F.lit(n).alias("fieldName"), F.col(n).cast("double").alias("recorded"), F.lit(f.own).alias("own"), F.col(f"{n}_common").alias("commonValue"), F.col(f"{n}_certain").alias("certain"))
         for n, f in fields.items()
     ]
     return scaled.select("snapshotSeq", F.col("propertyId").alias("recordKey"), F.explode(F.array(*cells)).alias("c")).select("snapshotSeq", "recordKey", "c.*").where("commonValue is not null")
@@ -53,13 +53,13 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_common_units(spark: SparkSession, folder: str) -> DataFrame:
-    """Every stated price and land area in yen or m², plain values included.
+    """Every stated price and land area in yen or m², plain values included, and whether its unit is certain.
 
     Listings have one row per snapshot, reading and field; the hand-kept records belong to no snapshot (null).
     """
-    numbers = _listing_amounts(table(spark, folder, "discovered_listings")).select("snapshotSeq", "recordKey", "fieldName", "commonValue")
+    numbers = _listing_amounts(table(spark, folder, "discovered_listings")).select("snapshotSeq", "recordKey", "fieldName", "commonValue", "certain")
     texts = common_units(table(spark, folder, "source_properties"), "id", {"price": PRICE_MAN, "land": AREA_M2})
-    return numbers.unionByName(texts.select(F.lit(None).cast("int").alias("snapshotSeq"), F.col("id").alias("recordKey"), "fieldName", "commonValue"))
+    return numbers.unionByName(texts.select(F.lit(None).cast("int").alias("snapshotSeq"), F.col("id").alias("recordKey"), "fieldName", "commonValue", "certain"))
 
 
 _READINGS = """

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from machiya.functions import dates, decisions, money, text, urls
 from machiya.functions.quantities import AREA_M2, PRICE_MAN, TRADE_YEN, read_quantity
-from machiya.operators.quantities import common_scales, common_units, log_prior
+from machiya.operators.quantities import amount_prior, common_scales, common_units
 
 
 def one(spark, expression, value, kind="string"):
@@ -100,7 +100,7 @@ def test_tiered_key(spark):
 PRICES = {
     "￥81,700,000-": 81_700_000, "7,570万円": 75_700_000, "0.556億円": 55_600_000, "2億1,210万円": 212_100_000, "一億七千二百九十万円": 172_900_000, "二億千九百九十万円": 219_900_000,
     "24900 万": 249_000_000, "JPY 45600000": 45_600_000, "31.6M JPY": 31_600_000, "31.6m": 31_600_000, "38.7百万円": 38_700_000, "37,800千円": 37_800_000, "約6,480万円（税込）": 64_800_000,
-    "7,740": 77_400_000, "34900000": 34_900_000, "１１８８０万円": 118_800_000, "応相談": None, "-": None, "": None, "0": None, "-500万円": None, None: None,
+    "7,740": 77_400_000, "30000": 300_000_000, "200": 2_000_000, "3億円": 300_000_000, "１１８８０万円": 118_800_000, "応相談": None, "-": None, "": None, "0": None, "-500万円": None, None: None,
 }
 AREAS = {
     "33.76坪": 33.76 * 400 / 121, "118.91㎡(35.97坪)": 118.91, "40.49つぼ": 40.49 * 400 / 121, "73.13 tsubo": 73.13 * 400 / 121, "159.80㎡（実測）": 159.8, "158.56平米": 158.56, "2.3342アール": 233.42,
@@ -134,12 +134,38 @@ def test_common_units(spark, as_rows):
     assert common_units(df.limit(0), "id", {"price": PRICE_MAN}).count() == 0
 
 
+def test_bare_numbers_are_read_by_learned_amounts(spark):
+    """A bare number leaves its field's unit only if the field's own amounts say so; close calls are marked."""
+    usual = [(f"u{i}", str(3000 + 137 * i)) for i in range(60)]
+    odd = [("yen", "34900000"), ("own", "30000"), ("two", "200"), ("oku", "3億円"), ("wide", "７,７４０")]
+    out = common_units(spark.createDataFrame(usual + odd, "id string, price string"), "id", {"price": PRICE_MAN})
+    got = {r["id"]: (r["commonValue"], r["plain"]) for r in out.where("id not like 'u%'").collect()}
+    assert got["yen"] == (34_900_000, False) and got["oku"] == (300_000_000, False) and got["wide"] == (77_400_000, False)
+    # the same price in two notations is one amount when rows like it are usual
+    dear = [(f"d{i}", str(20_000 + 500 * i)) for i in range(60)]
+    out = common_units(spark.createDataFrame(dear + odd, "id string, price string"), "id", {"price": PRICE_MAN})
+    got = {r["id"]: (r["commonValue"], r["plain"], r["certain"]) for r in out.where("id not like 'd%'").collect()}
+    assert got["own"] == (300_000_000, True, True) and got["oku"][0] == 300_000_000
+    # a number near the boundary of two units is kept whole, and marked
+    one = common_units(spark.createDataFrame(usual + [("x", "29000")], "id string, price string"), "id", {"price": PRICE_MAN}).where("id = 'x'").first()
+    assert one["commonValue"] in (290_000_000, 29_000_000) and isinstance(one["certain"], bool)
+
+
+def test_units_are_segmented():
+    from machiya.functions.quantities import PRICE_YEN, unit_factor
+
+    assert [f for f, _ in PRICE_MAN.scales()] == [1e4, 1.0, 1e3, 1e6] and PRICE_YEN.own == 1.0 and AREA_M2.own == 1.0
+    assert unit_factor("坪", "length", 2) == pytest.approx(400 / 121)
+    with pytest.raises(ValueError):
+        unit_factor("kg", "money", 1)
+
+
 def test_common_scales_are_chosen_jointly(spark):
     from machiya.functions.quantities import PRICE_YEN
 
     data = [(42_900_000, 4290), (3390, 3390), (43_200_000, 43_200_000), (16_850, 16_850), (20_000, 2_000), (17_330, None), (None, None), (0, 5000)]
     df = spark.createDataFrame(data, "priceYen bigint, priceMan int")
     usual = spark.createDataFrame([(x * 1_000_000,) for x in (25, 30, 35, 40, 45, 50, 60, 70, 90, 120)], "priceYen bigint")
-    prior = log_prior(usual, "priceYen", PRICE_YEN)
+    prior = amount_prior(usual, F.col("priceYen") * PRICE_YEN.own)
     got = common_scales(df.crossJoin(prior), {"priceYen": PRICE_YEN, "priceMan": PRICE_MAN}, F.col("center"), F.col("spread")).select("priceYen_common", "priceMan_common").collect()
     assert [tuple(r) for r in got] == [(42.9e6, 42.9e6), (33.9e6, 33.9e6), (43.2e6, 43.2e6), (168.5e6, 168.5e6), (20e6, 20e6), (173.3e6, None), (None, None), (None, 50e6)]
