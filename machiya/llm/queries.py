@@ -9,7 +9,7 @@ from machiya.functions.quantities import AREA_M2, TRADE_YEN
 from machiya.llm.addresses import gazetteer, located_addresses, located_records, parsed_addresses, same_house_number
 from machiya.llm.components import linking_rows, listing_groups
 from machiya.llm.leakage import leaked_passages
-from machiya.llm.matching import BELIEF, candidates, house_clusters, house_values, joined_houses, match_probabilities
+from machiya.llm.matching import BELIEF, agreement, candidates, house_clusters, house_values, joined_houses, learned_weights, match_probabilities, rescored
 from machiya.llm.mixing import mix, short_sources
 from machiya.llm.percentiles import merge_counts, percentiles, value_counts
 from machiya.llm.survivors import completeness, current_values, surviving_fields, value_levels, value_precedence, with_levels
@@ -123,8 +123,11 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 ADDRESSES = ["address", "fullAddress", "propertyAddress"]
 
 
-def _records(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Listings and hand-kept records as (id, place, number, land, building, year), one row per place and number."""
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    """Listings (side l) and hand-kept records (side r): (side, id, place, number, district, land, building, year).
+
+    One row per place and number that the record's addresses may mean; a record without any has null places.
+    """
     listings = table(spark, folder, "discovered_listings")
     kept = table(spark, folder, "source_properties")
     positive = lambda c: F.when((c > 0) & ~F.isnan(c), c)
@@ -135,8 +138,7 @@ def _records(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
         F.max(positive(F.col("buildingAreaM2"))).alias("building"),
         F.max(F.when(F.col("constructionYear") > 0, F.col("constructionYear"))).cast("double").alias("year"),
     )
-    two = kept.where("id is not null").select(F.col("id"), "address", "land", positive(F.col("building")).alias("building"), F.when(F.col("year") > 0, F.col("year")).cast("double").alias("year")).distinct()
-    two = two.withColumn("land", quantity(F.col("land"), AREA_M2))
+    two = kept.where("id is not null").select(F.col("id"), "address", quantity(F.col("land"), AREA_M2).alias("land"), positive(F.col("building")).alias("building"), F.when(F.col("year") > 0, F.col("year")).cast("double").alias("year")).distinct()
     one, two = write_table(one, "listings").df, write_table(two, "kept").df
     texts = one.select(F.explode(F.array(*ADDRESSES)).alias("text")).unionByName(two.select(F.col("address").alias("text")))
     parsed = write_table(parsed_addresses(texts, "text"), "addresses").df
@@ -144,23 +146,30 @@ def _records(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     located = write_table(located_addresses(texts, "text", places, parsed), "located").df
     first = F.explode_outer("numbers").alias("number")
     at = located_records(one, "propertyId", ADDRESSES, located).select(F.col("propertyId").alias("id"), "place", "district", first)
-    left = one.select(F.col("propertyId").alias("id"), "land", "building", "year").join(at, "id")
+    names = ["id", "place", "number", "district", "land", "building", "year"]
+    left = one.select(F.col("propertyId").alias("id"), "land", "building", "year").join(at, "id", "left").select(F.lit("l").alias("side"), *names)
     # an address of a hand-kept record may name several places that tie: all of them are alternatives
     where = two.select("id", F.col("address").alias("text")).join(located, "text").select("id", "place", "number", "district").distinct()
-    return left, two.select("id", "land", "building", "year").join(where, "id")
+    return left.unionByName(two.select("id", "land", "building", "year").join(where, "id", "left").select(F.lit("r").alias("side"), *names))
 
 
 def p2_matches(spark: SparkSession, folder: str) -> DataFrame:
-    """(propertyId, id, confidence): listings and hand-kept records of the same house."""
-    left, right = (write_table(x, "records").df for x in _records(spark, folder))
-    listed = write_table(joined_houses(house_clusters(left)), "houses").df
-    kept = write_table(joined_houses(house_clusters(right)), "houses").df
-    houses, keepers = (write_table(house_values(x), "values").df for x in (listed, kept))
-    pairs = write_table(candidates(houses, keepers), "pairs").df
-    matched = match_probabilities(pairs).where(F.col("probability") >= BELIEF)
-    out = matched.join(listed.select(F.col("house").alias("lid"), F.col("id").alias("propertyId")).distinct(), "lid")
-    out = out.join(kept.select(F.col("house").alias("rid"), "id").distinct(), "rid")
-    return out.groupBy("propertyId", "id").agg(F.max("probability").alias("confidence"))
+    """(propertyId, id, confidence, settled): listings and hand-kept records of the same house.
+
+    Houses are matched one to one; a pair's confidence comes from its own evidence and the messages that its houses got.
+    """
+    records = write_table(_records(spark, folder), "records").df
+    housed = write_table(joined_houses(house_clusters(records, ["side"]), ["side"]), "houses").df
+    values = write_table(house_values(housed, ["side"]), "values").df
+    pairs = write_table(candidates(values.where("side = 'l'"), values.where("side = 'r'"), floor=None), "pairs").df
+    weights = learned_weights(pairs)
+    matched = match_probabilities(rescored(pairs, weights)).where(F.col("probability") >= BELIEF).select("lid", "rid", "score", "message", "settled")
+    matched = write_table(matched, "matched").df
+    mine = lambda n: housed.where(f"side = '{n}'").select(F.col("house").alias(f"{n}id"), *[F.col(c).alias(f"{n}_{c}") for c in ("id", "place", "number", "district", "land", "building", "year")])
+    own = agreement(matched.join(mine("l"), "lid").join(mine("r"), "rid"))
+    belief = F.col("own") + F.col("message")
+    out = rescored(own, weights, None).withColumn("own", F.coalesce("score", F.lit(0.0))).withColumn("confidence", 1 / (1 + F.exp(-belief)))
+    return out.groupBy(F.col("l_id").alias("propertyId"), F.col("r_id").alias("id")).agg(F.max("confidence").alias("confidence"), F.min("settled").alias("settled"))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 
 from machiya.llm.addresses import Gazetteer, edits, gazetteer, houses_by_address, parsed_addresses, same_house_number, split_address
-from machiya.llm.matching import candidates, house_clusters, match_probabilities
+from machiya.llm.matching import NUMBER, TYPED, candidates, house_clusters, learned_weights, match_probabilities
 
 SPLITS = {
     "汐見県深汐市鳩南野200番地 付近": ("汐見県深汐市鳩南野", [200]),
@@ -100,6 +100,36 @@ def test_clusters_and_matches(spark):
     assert match_probabilities(candidates(values.limit(0), right)).count() == 0
 
 
+def test_records_without_a_place_meet_by_their_areas(spark):
+    left = spark.createDataFrame([("l1", None, None, None, 123.4, 81.2, 1999.0), ("l2", "p", "1-1-1", 1, 150.0, 95.0, 2015.0), ("l3", None, None, None, 99.0, None, 1999.0)], RECORD)
+    right = spark.createDataFrame([("r1", "p", "7", None, 123.4, 81.2, 1999.0), ("r2", None, None, None, 150.0, 95.0, 2015.0), ("r3", "q", "3", None, 99.0, 70.0, 1999.0)], RECORD)
+    got = {(r["lid"], r["rid"]): r["probability"] for r in match_probabilities(candidates(left, right)).collect()}
+    assert {k for k, p in got.items() if p >= 0.5} == {("l1", "r1"), ("l2", "r2")}
+
+
+def test_weights_are_learned_from_patterns(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = []
+    for i in range(400):
+        match = i % 2 == 0
+        rows.append((NUMBER, rng.choice([0, 0, 1]) if match else rng.choice([3, 4, 4, 1]), rng.choice([0, 1]) if match else 4, rng.choice([0, 1]) if match else 3, 1))
+    weights, places = learned_weights(spark.createDataFrame(rows, "where int, land int, building int, year int, n int"))
+    # a level that matches often share and others never gains weight, one that both have loses some
+    assert weights["building"][0] > TYPED["building"][0] - 1 and weights["building"][4] < -3 and weights["land"][1] < weights["land"][0] and abs(places[NUMBER]) < 1
+    assert learned_weights(spark.createDataFrame([], "where int, land int, building int, year int"))[0] == TYPED
+
+
+def test_messages_settle_on_a_swinging_graph(spark):
+    """A ring of equal candidates, and one record with many: rounds end, and every pair says whether it has settled."""
+    ring = [(f"a{i}", f"b{i}", 8.0) for i in range(6)] + [(f"a{i}", f"b{(i + 1) % 6}", 8.0) for i in range(6)] + [("hub", f"x{i}", 5.0) for i in range(40)] + [("lone", "pair", 0.0)]
+    got = {(r["lid"], r["rid"]): r for r in match_probabilities(spark.createDataFrame(ring, "lid string, rid string, score double")).collect()}
+    assert len(got) == len(ring) and all(r["settled"] is not None for r in got.values())
+    assert got["lone", "pair"]["probability"] == 0.5 and abs(sum(r["probability"] for k, r in got.items() if k[0] == "hub") - 1) < 0.05
+    assert all(abs(r["probability"] - 0.5) < 0.05 for k, r in got.items() if k[0].startswith("a"))
+
+
 def test_one_to_one_factor_decides(spark):
     pairs = spark.createDataFrame([("a", "x", 3.0), ("a", "y", 2.5), ("b", "x", 2.8)], "lid string, rid string, score double")
     got = {(r["lid"], r["rid"]): r["probability"] for r in match_probabilities(pairs).collect()}
