@@ -239,13 +239,15 @@ def gazetteer(parsed: DataFrame) -> DataFrame:
     within localities; a rare spelling one edit from a frequent one is a variant of it.
     """
     full = parsed.where("prefecture <> '' and city <> '' and town <> ''")
-    counted = full.groupBy("prefecture", "city", "town").agg(F.count("*").alias("n"), F.count_if(F.col("chome") | (F.size("numbers") >= 3)).alias("c"), F.count_if(F.size("numbers") >= 1).alias("m"))
-    prefectures = _canonical_prefectures(counted)
-    counted = counted.join(prefectures, "prefecture", "left").groupBy(F.coalesce("_prefecture", "prefecture").alias("prefecture"), "city", "town").agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.sum("m").alias("m"))
-    cities = _canonical(counted.groupBy("prefecture", "city").agg(F.sum("n").alias("n")), ["prefecture"], "city").select("prefecture", "city", F.col("canonical").alias("_city"))
-    located = counted.join(cities, ["prefecture", "city"]).groupBy("prefecture", F.col("_city").alias("city"), "town").agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.sum("m").alias("m"))
+    sums = [F.sum(c).alias(c) for c in ("n", "c", "m")]
+    # written, since each is read several times; they have one row per place
+    counted = write_table(full.groupBy("prefecture", "city", "town").agg(F.count("*").alias("n"), F.count_if(F.col("chome") | (F.size("numbers") >= 3)).alias("c"), F.count_if(F.size("numbers") >= 1).alias("m")), "counted").df
+    prefectures = write_table(_canonical_prefectures(counted), "prefectures").df
+    folded = write_table(counted.join(prefectures, "prefecture", "left").groupBy(F.coalesce("_prefecture", "prefecture").alias("prefecture"), "city", "town").agg(*sums), "folded").df
+    cities = write_table(_canonical(folded.groupBy("prefecture", "city").agg(F.sum("n").alias("n")), ["prefecture"], "city").select("prefecture", "city", F.col("canonical").alias("_city")), "cities").df
+    located = write_table(folded.join(cities, ["prefecture", "city"]).groupBy("prefecture", F.col("_city").alias("city"), "town").agg(*sums), "towns").df
     towns = _canonical(located.select("prefecture", "city", "town", "n"), ["prefecture", "city"], "town").select("prefecture", "city", "town", F.col("canonical").alias("_town"))
-    out = located.join(towns, ["prefecture", "city", "town"]).groupBy("prefecture", "city", F.col("_town").alias("town")).agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.sum("m").alias("m"))
+    out = located.join(towns, ["prefecture", "city", "town"]).groupBy("prefecture", "city", F.col("_town").alias("town")).agg(*sums)
     return out.select("prefecture", "city", "town", "n", (F.col("c") / F.greatest("m", F.lit(1))).alias("chome_share"))
 
 

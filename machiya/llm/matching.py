@@ -113,19 +113,23 @@ def candidates(left: DataFrame, right: DataFrame, by: Sequence[str] = (), floor:
     return out if floor is None else out.where(F.col("score") >= floor)
 
 
-def learned_weights(pairs: DataFrame) -> tuple[dict[str, list[float]], list[float]]:
-    """(weights of the levels, log odds of the places), learned from the candidates.
+def learned_weights(pairs: DataFrame, houses: int | None = None) -> tuple[dict[str, list[float]], list[float]]:
+    """(weights of the levels of one house number, log odds of the places), learned from the candidates.
+
+    A record without a place may be any of the ``houses`` of the other table, so those are its odds before evidence.
 
     Expectation maximization over the counts of agreement patterns (at most some hundred, whatever the number of pairs):
     how often a level occurs among matches and among others, and how often pairs of one house number match.  All is learned
     from the pairs of one number: the others were brought together by their areas, so that their levels and odds would say
-    that areas agree among non-matches too; they keep their odds before learning.  Counts start from, and are held by
+    that areas agree among non-matches too; they keep their weights and odds before learning.  Counts start from, and are held by
     ``HELD_BY`` pseudo-candidates to, the weights before learning; unknown levels take no part.
     """
     rows = pairs.where(F.col("where") == NUMBER).groupBy(*_FIELDS).count().collect()
     n = np.array([r["count"] for r in rows], dtype=float)
     level = {f: np.array([r[f] for r in rows], dtype=int) for f in _FIELDS}
     weights, places = {f: list(ws) for f, ws in TYPED.items()}, list(WHERE)
+    if houses is not None:
+        places[UNPLACED] = -math.log(houses + 1)
     for _ in range(LEARN_ROUNDS if rows else 0):
         score = places[NUMBER] + sum(np.where(level[f] >= 0, np.array(weights[f])[np.maximum(level[f], 0)], 0.0) for f in _FIELDS)
         match = 1 / (1 + np.exp(-np.clip(score, -40, 40)))
@@ -146,7 +150,7 @@ def learned_weights(pairs: DataFrame) -> tuple[dict[str, list[float]], list[floa
 def rescored(pairs: DataFrame, weights: tuple, floor: float | None = FLOOR) -> DataFrame:
     """``pairs`` with the score by ``learned_weights``."""
     levels, places = weights
-    score = F.try_element_at(F.array(*[F.lit(float(w)) for w in places]), F.col("where") + 1) + _weighed(levels)
+    score = F.try_element_at(F.array(*[F.lit(float(w)) for w in places]), F.col("where") + 1) + F.when(F.col("where") == NUMBER, _weighed(levels)).otherwise(_weighed(TYPED))
     out = pairs.withColumn("score", score)
     return out if floor is None else out.where(F.col("score") >= floor)
 

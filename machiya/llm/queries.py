@@ -162,7 +162,7 @@ def p2_matches(spark: SparkSession, folder: str) -> DataFrame:
     housed = write_table(joined_houses(house_clusters(records, ["side"]), ["side"]), "houses").df
     values = write_table(house_values(housed, ["side"]), "values").df
     pairs = write_table(candidates(values.where("side = 'l'"), values.where("side = 'r'"), floor=None), "pairs").df
-    weights = learned_weights(pairs)
+    weights = learned_weights(pairs, values.count())
     matched = match_probabilities(rescored(pairs, weights)).where(F.col("probability") >= BELIEF).select("lid", "rid", "score", "message", "settled")
     matched = write_table(matched, "matched").df
     mine = lambda n: housed.where(f"side = '{n}'").select(F.col("house").alias(f"{n}id"), *[F.col(c).alias(f"{n}_{c}") for c in ("id", "place", "number", "district", "land", "building", "year")])
