@@ -14,17 +14,36 @@ def _part(c: Column, pattern: str, group: int) -> Column:
 
 
 def year_month(c: Column) -> Column:
-    """Struct (ym, precision) of a date text: year and month in Western or era years, else the year's first month."""
-    options = [(r"((?:19|20)[0-9]{2})\s*年\s*([0-9]{1,2})\s*月", 0), (r"((?:19|20)[0-9]{2})\s*[/-]\s*([0-9]{1,2})", 0)]
-    eras = [(era + r"\s*([0-9]{1,2})\s*年\s*([0-9]{1,2})\s*月", base) for era, base in ERAS]
-
-    def month(pattern: str, base: int) -> Column:
-        y, m = _part(c, pattern, 1) + base, _part(c, pattern, 2)
-        return F.when(m.between(1, 12), F.struct(F.format_string("%04d-%02d", y, m).alias("ym"), F.lit("month").alias("precision")))
-
-    year = _part(c, r"((?:19|20)[0-9]{2})\s*年", 1)
-    alone = F.when(year.isNotNull(), F.struct(F.format_string("%04d-01", year).alias("ym"), F.lit("year").alias("precision")))
-    return F.coalesce(*[month(*o) for o in options], alone, *[month(*o) for o in eras])
+    """Struct (ym, precision) of a date text: year and month in Western or era years, else the year's first month.
+
+    One grammar reads every statement of a text: an optional era, a year, and an optional month.  A Western year with a
+    month in words wins over one in figures, then a Western year alone, then an era year with a month; equal ones go to the
+    first.  Era years without a month and months that do not exist state nothing.
+    """
+    names = "|".join(e for e, _ in ERAS)
+    grammar = rf"(?:(?:19|20)[0-9]{{2}}|(?:{names})\s*[0-9]{{1,2}})\s*(?:年\s*(?:[0-9]{{1,2}}\s*月)?|[/-]\s*[0-9]{{1,2}})"
+    found = F.regexp_extract_all(c, F.lit(grammar), 0)
+    base = F.create_map(*[F.lit(x) for e in ERAS for x in e])
+
+    def read(x: Column, i: Column) -> Column:
+        era = F.regexp_extract(x, names, 0)
+        year = F.regexp_extract(x, "[0-9]+", 0).try_cast("int") + F.coalesce(F.try_element_at(base, era), F.lit(0))
+        month = F.nullif(F.regexp_extract(x, r"(?:年|[/-])\s*([0-9]{1,2})", 1), F.lit("")).try_cast("int")
+        figures = ~F.contains(x, F.lit("年"))
+        rank = F.when((era == "") & month.isNotNull(), F.when(figures, 1).otherwise(0)).when(era == "", 2).when(month.isNotNull() & ~figures, 3)
+        valid = rank.isNotNull() & F.coalesce(month.between(1, 12), F.lit(True))
+        ym = F.format_string("%04d-%02d", year, F.coalesce(month, F.lit(1)))
+        return F.when(valid, F.struct(rank.alias("rank"), i.alias("at"), ym.alias("ym"), F.when(month.isNull(), "year").otherwise("month").alias("precision")))
+
+    best = F.array_min(F.array_compact(F.transform(found, read)))
+    return F.when(best.isNotNull(), F.struct(best["ym"].alias("ym"), best["precision"].alias("precision")))
+
+
+def labelled_date(c: Column, labels: list[str]) -> Column:
+    """``YYYY-MM-DD`` of the first date in a text that stands right after one of the labels; null if none does."""
+    said = "(?:" + "|".join(labels) + r")\s*[:：]?\s*(20[0-9]{2})年\s*([0-9]{1,2})月\s*([0-9]{1,2})日"
+    y, m, d = (_part(c, said, i) for i in (1, 2, 3))
+    return F.when(y.isNotNull(), F.format_string("%04d-%02d-%02d", y, m, d))
 
 
 def months_between_ym(ym: Column, now: Column) -> Column:
@@ -46,6 +65,7 @@ def built_year(c: Column, now_year: int) -> Column:
 
 def quarter_end(c: Column) -> Column:
     """Last second of a quarter written ``2026Q1`` or ``2026年第1四半期``; null for other texts."""
+    # The two notations of quarters in the data.
     y = F.coalesce(_part(c, r"(?i)((?:19|20)[0-9]{2})\s*Q([1-4])", 1), _part(c, r"((?:19|20)[0-9]{2})年\s*第?([1-4])四半期", 1))
     q = F.coalesce(_part(c, r"(?i)((?:19|20)[0-9]{2})\s*Q([1-4])", 2), _part(c, r"((?:19|20)[0-9]{2})年\s*第?([1-4])四半期", 2))
     return F.when(y.isNotNull(), F.last_day(F.make_date(y, q * 3, F.lit(1))).cast("timestamp") + F.expr("interval 86399 seconds"))

@@ -80,3 +80,15 @@ def tiered_key(tiers: Sequence[tuple[str, Sequence[Column]]], extra: Column, pre
         raw = F.concat_ws("|", F.lit(name), *[F.coalesce(p, F.lit("")) for p in parts], F.coalesce(extra, F.lit("")))
         out = F.when(full, F.struct(F.concat(F.lit(prefix), F.substring(F.sha2(raw, 256), 1, length)).alias("key"), F.lit(name).alias("tier"))).otherwise(out)
     return out
+
+
+def identity_record(keys: Sequence[tuple[str, Column]], fallback: Column, aliases: Sequence[Column], prefix: str = "candidate:", length: int = 24) -> Column:
+    """Struct (key, kind, aliases): the first key that is known and its kind, else a hash of ``fallback`` as ``candidate``.
+
+    Aliases are the chosen key, all known keys and the given ones, each once in this order; null and blank ones are none.
+    """
+    named = [(kind, F.when(F.trim(c) != "", c)) for kind, c in keys] + [("candidate", F.concat(F.lit(prefix), F.substring(F.sha2(F.coalesce(fallback, F.lit("")), 256), 1, length)))]
+    key = F.coalesce(*[c for _, c in named])
+    kind = F.coalesce(*[F.when(c.isNotNull(), F.lit(k)) for k, c in named])
+    others = [c for _, c in named[:-1]] + [F.when(F.trim(c) != "", c) for c in aliases]
+    return F.struct(key.alias("key"), kind.alias("kind"), F.array_distinct(F.array_compact(F.array(key, *others))).alias("aliases"))

@@ -9,16 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-#: Parts into which the items of one area are dealt.
-AREA_SALTS = 8
+#: Width of the logarithmic classes on which sizes within a band meet.
+CLASS_WIDTH = 0.25
 #: Rows of one block that meet a whole block in one part; larger blocks are dealt to more parts.
 BLOCK_PART = 1000
 
 
-def within(a: Column, b: Column, share: float) -> Column:
-    """True if b is within ``a * (1 ± share)``, or either is unknown or not positive."""
+def within(a: Column, b: Column, low: Column | float, high: Column | float) -> Column:
+    """True if b lies in ``a * low`` to ``a * high``, or either is unknown or not positive."""
     known = (a > 0) & (b > 0)
-    return F.coalesce(~known | b.between(a * (1 - share), a * (1 + share)), F.lit(True))
+    return F.coalesce(~known | b.between(a * low, a * high), F.lit(True))
+
+
+def _class(x: Column) -> Column:
+    """Class of a positive size; null for others."""
+    return F.when(x > 0, F.floor(F.log(x) / CLASS_WIDTH))
+
+
+def _class_span(low: Column, high: Column) -> Column:
+    """The classes that a range of positive sizes touches, one more on either side against rounding; null if unknown."""
+    at = lambda x: F.floor(F.log(F.greatest(x, F.lit(1e-9))) / CLASS_WIDTH)
+    return F.when(high > 0, F.sequence(at(low) - 1, at(high) + 1))
 
 
 def blocked_pairs(df: DataFrame, key: str, block: Column, columns: Sequence[str], smallest: int = 2, largest: int | None = None) -> DataFrame:
@@ -72,31 +83,76 @@ def pair_score(parts: Sequence[tuple[Column, int]]) -> Column:
     return sum((F.when(c, F.lit(p)).otherwise(0) for c, p in parts), F.lit(0))
 
 
-def comparables(items: DataFrame, sales: DataFrame, area: str, item_columns: Mapping[str, str], sale_columns: Mapping[str, str], price: str, share: float, years: int) -> DataFrame:
-    """Each item with the number and median price of its comparable sales.
+def comparables(
+    items: DataFrame, sales: DataFrame, area: str, item_columns: Mapping[str, str], sale_columns: Mapping[str, str], price: str, low: float, high: float, years: int, district: tuple[str, str] | None = None, fewest: int = 3
+) -> DataFrame:
+    """Each item with the number and median price of its comparable sales: (key, comparables, medianPrice, level).
 
-    A sale is comparable in the same area if its sizes are within ``share`` and its year within ``years`` of the item's,
-    where both are known; ``item_columns`` and ``sale_columns`` name ``key``, ``land``, ``building`` and ``year``.  Items
-    and sales are first reduced to their distinct characteristics, so equal ones are compared once; the join has the
-    area as equal key and the bands as residual condition.  Areas are few and uneven, so the items of each are dealt to
-    ``AREA_SALTS`` parts, each of which meets the area's reduced sales; comparing costs more than its bytes tell, so the
-    number of partitions is fixed.
+    A sale is comparable in the same area if its sizes lie in ``low`` to ``high`` of the item's and its year within
+    ``years``, where both are known; ``item_columns`` and ``sale_columns`` name ``key``, ``land``, ``building`` and
+    ``year``.  ``district`` names a column of items whose text must contain a column of sales: where at least ``fewest``
+    comparable sales are of the item's district they alone count (level ``district``), else all (``area``).
+
+    Items and sales are first reduced to their distinct characteristics, so equal ones are compared once.  They meet on
+    equal keys of area and logarithmic size classes: an item meets the few classes of its bands and the sales of unknown
+    size; an item of unknown size meets sales under a key without that size.  So a large area is split by its sizes, and
+    hardly a pair is formed that is not comparable.  Medians are taken over prices with their counts.
     """
     kinds = ("land", "building", "year")
-    traits = [F.col(item_columns[k]).cast("double").alias(f"i_{k}") for k in kinds]
     tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    traits = [F.col(item_columns[k]).cast("double").alias(f"i_{k}") for k in kinds] + [(F.col(district[0]) if district else F.lit(None).cast("string")).alias("i_district")]
+    names = [f"i_{k}" for k in (*kinds, "district")]
     wanted = items.select(F.col(area).alias("area"), *traits).where("area is not null").distinct()
-    wanted = wanted.withColumn("salt", F.pmod(F.xxhash64("i_land", "i_building", "i_year"), F.lit(AREA_SALTS)).cast("int")).repartition(tasks, "area", "salt")
-    offered = sales.where((F.col(price) > 0) & F.col(area).isNotNull()).groupBy(F.col(area).alias("s_area"), *[F.col(sale_columns[k]).cast("double").alias(f"s_{k}") for k in kinds], F.col(price).alias("s_price")).agg(F.count("*").alias("s_n"))
-    offered = offered.withColumn("s_salt", F.explode(F.sequence(F.lit(0), F.lit(AREA_SALTS - 1)))).repartition(tasks, "s_area", "s_salt")
+    offered = sales.where((F.col(price) > 0) & F.col(area).isNotNull()).groupBy(
+        F.col(area).alias("s_area"), *[F.col(sale_columns[k]).cast("double").alias(f"s_{k}") for k in kinds], (F.col(district[1]) if district else F.lit(None).cast("string")).alias("s_district"), F.col(price).alias("s_price")
+    ).agg(F.count("*").alias("s_n"))
+    word = lambda c: F.coalesce(c.cast("string"), F.lit("u"))
+    key = lambda x, y: F.concat_ws("|", x, y)
+    # an item: its classes and unknown; or "*", if it has no size of that kind itself
+    reach = [F.coalesce(F.transform(F.concat(_class_span(F.when(c > 0, c * low), F.when(c > 0, c * high)), F.array(F.lit(None).cast("bigint"))), word), F.array(F.lit("*"))) for c in (F.col("i_land"), F.col("i_building"))]
+    wanted_keys = F.flatten(F.transform(reach[0], lambda x: F.transform(reach[1], lambda y: key(x, y))))
+    # a sale: its own class or unknown, and "*"
+    has = [F.array(word(_class(c)), F.lit("*")) for c in (F.col("s_land"), F.col("s_building"))]
+    offered_keys = F.flatten(F.transform(has[0], lambda x: F.transform(has[1], lambda y: key(x, y))))
+    left = wanted.withColumn("class", F.explode(wanted_keys)).repartition(tasks, "area", "class")
+    right = offered.withColumn("s_class", F.explode(offered_keys)).repartition(tasks, "s_area", "s_class")
     years_ok = F.coalesce(F.abs(F.col("i_year") - F.col("s_year")) <= years, F.lit(True))
-    on = (F.col("area") == F.col("s_area")) & (F.col("salt") == F.col("s_salt")) & within(F.col("i_land"), F.col("s_land"), share) & within(F.col("i_building"), F.col("s_building"), share) & years_ok
-    found = wanted.join(offered, on).groupBy("area", "i_land", "i_building", "i_year").agg(F.sum("s_n").alias("comparables"), F.percentile("s_price", F.lit(0.5), F.col("s_n")).alias("medianPrice"))
-    each = items.select(F.col(item_columns["key"]).alias("key"), F.col(area).alias("i_area"), *[F.col(item_columns[k]).cast("double").alias(k) for k in kinds])
-    same = F.col("i_area") == F.col("area")
-    for k in kinds:
-        same = same & F.col(k).eqNullSafe(F.col(f"i_{k}"))
-    return each.join(found, same, "left").select("key", F.coalesce("comparables", F.lit(0)).alias("comparables"), "medianPrice")
+    on = (F.col("area") == F.col("s_area")) & (F.col("class") == F.col("s_class")) & within(F.col("i_land"), F.col("s_land"), low, high) & within(F.col("i_building"), F.col("s_building"), low, high) & years_ok
+    near = F.coalesce(F.contains("i_district", "s_district") & (F.col("s_district") != ""), F.lit(False))
+    prices = left.join(right, on).groupBy("area", *names, "s_price").agg(F.sum("s_n").alias("n"), F.sum(F.when(near, F.col("s_n")).otherwise(0)).alias("m"))
+    found = prices.groupBy("area", *names).agg(
+        F.sum("n").alias("all"), F.percentile("s_price", F.lit(0.5), F.col("n")).alias("all_median"), F.sum("m").alias("own"), F.percentile(F.when(F.col("m") > 0, F.col("s_price")), F.lit(0.5), F.greatest("m", F.lit(1))).alias("own_median")
+    )
+    each = items.select(F.col(item_columns["key"]).alias("key"), F.col(area).alias("_area"), *[t.alias(f"_{n}") for t, n in zip(traits, names)])
+    same = F.col("_area") == F.col("area")
+    for n in names:
+        same = same & F.col(f"_{n}").eqNullSafe(F.col(n))
+    local = F.coalesce(F.col("own") >= fewest, F.lit(False)) if district else F.lit(False)
+    both = each.join(found, same, "left")
+    return both.select("key", F.when(local, F.col("own")).otherwise(F.coalesce("all", F.lit(0))).alias("comparables"), F.when(local, F.col("own_median")).otherwise(F.col("all_median")).alias("medianPrice"), F.when(local, "district").otherwise("area").alias("level"))
+
+
+def similar_rows(df: DataFrame, key: str, area: str, price: str, land: str, price_share: float, price_least: float, land_share: float, land_least: float) -> DataFrame:
+    """(key, similar, medianPrice): for each priced row the other rows of its area with a near price and, if known, near land.
+
+    Near is within ``share`` of the row's own value, or ``least`` if that is more.  Rows are reduced to their distinct
+    area, price and land with counts, and meet on logarithmic classes of the price, so only rows of near prices are
+    compared; a row itself is taken out of the count of its own characteristics.  Rows without an area or a positive price
+    are similar to none and get 0.  Rows should be unique by key.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(F.col(key).alias("k"), F.col(area).alias("a"), F.when(F.col(price) > 0, F.col(price).cast("double")).alias("p"), F.when(F.col(land) > 0, F.col(land).cast("double")).alias("l"))
+    traits = rows.where("a is not null and p is not null").groupBy("a", "p", "l").agg(F.count("*").alias("n"))
+    reach = F.greatest(F.col("p") * price_share, F.lit(price_least))
+    left = traits.withColumn("class", F.explode(_class_span(F.col("p") - reach, F.col("p") + reach))).repartition(tasks, "a", "class")
+    right = traits.select(F.col("a").alias("ya"), F.col("p").alias("yp"), F.col("l").alias("yl"), F.col("n").alias("yn"), _class(F.col("p")).alias("yclass")).repartition(tasks, "ya", "yclass")
+    land_near = F.coalesce(F.abs(F.col("yl") - F.col("l")) <= F.greatest(F.lit(land_least), F.col("l") * land_share), F.lit(True))
+    met = left.join(right, (F.col("a") == F.col("ya")) & (F.col("class") == F.col("yclass")) & (F.abs(F.col("yp") - F.col("p")) <= reach) & land_near)
+    own = (F.col("yp") == F.col("p")) & F.col("yl").eqNullSafe(F.col("l"))
+    prices = met.groupBy("a", "p", "l", "yp").agg(F.sum(F.col("yn") - own.cast("int")).alias("w")).where("w > 0")
+    found = prices.groupBy("a", "p", "l").agg(F.sum("w").alias("similar"), F.percentile("yp", F.lit(0.5), F.col("w")).alias("medianPrice")).select(F.col("a").alias("fa"), F.col("p").alias("fp"), F.col("l").alias("fl"), "similar", "medianPrice")
+    out = rows.join(found, (F.col("a") == F.col("fa")) & (F.col("p") == F.col("fp")) & F.col("l").eqNullSafe(F.col("fl")), "left")
+    return out.select(F.col("k").alias(key), F.coalesce("similar", F.lit(0)).alias("similar"), "medianPrice")
 
 
 def unique_key_lookup(left: DataFrame, right: DataFrame, identity: str, left_keys: Sequence[Column], right_keys: Sequence[Column], value: str, skip_ambiguous: bool = True) -> DataFrame:

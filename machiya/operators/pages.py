@@ -19,11 +19,12 @@ from pyspark.sql.window import Window
 EVIDENCE = "page_id string, kind string, ordinal int, label string, value string"
 #: Elements without an end tag; elements whose text is dropped; those that make text blocks; longest block.
 VOID = {"br", "img", "input", "meta", "link", "hr", "area", "base", "col", "embed", "source", "track", "wbr"}
-DROPPED = {"script", "style", "noscript", "template"}
+DROPPED = {"script", "style", "noscript", "template", "iframe", "svg"}
+# Elements that make text blocks, in the order in which equal blocks are taken.
 BLOCKS = ("h1", "h2", "h3", "h4", "p", "li", "td", "th", "dt", "dd", "div", "span")
 LONGEST_BLOCK = 1500
-#: Class or id words of sections that are not about the page's own subject.
-EXCLUDED = re.compile(r"shop|inquiry|contact|recommend|footer|header|breadcrumb", re.IGNORECASE)
+# Class or id words of sections about the seller, not about the page's own subject.
+EXCLUDED = ("shop", "company", "tenpo", "store", "inquiry")
 #: What opening one element closes, if it is open.
 _CLOSES = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 
@@ -49,8 +50,9 @@ class Node:
 
 
 class _Tree(HTMLParser):
-    def __init__(self):
+    def __init__(self, excluded: Sequence[str]):
         super().__init__(convert_charrefs=True)
+        self.words = [w.lower() for w in excluded]
         self.root = Node("", {}, False)
         self.open = [self.root]
 
@@ -58,8 +60,8 @@ class _Tree(HTMLParser):
         attributes = {k.lower(): v or "" for k, v in attrs}
         while len(self.open) > 1 and self.open[-1].tag in _CLOSES.get(tag, ()):
             self.open.pop()
-        marks = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-        node = Node(tag, attributes, self.open[-1].excluded or tag in DROPPED or bool(EXCLUDED.search(marks)))
+        marks = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
+        node = Node(tag, attributes, self.open[-1].excluded or tag in DROPPED or any(w in marks for w in self.words))
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -79,17 +81,17 @@ class _Tree(HTMLParser):
         self.open[-1].children.append(data)
 
 
-def parse(html: str) -> Node:
-    """The tree of a page; broken markup never fails, unclosed elements end with their parent."""
-    tree = _Tree()
+def parse(html: str, excluded: Sequence[str] = EXCLUDED) -> Node:
+    """The tree of a page; sections whose class or id has an excluded word are marked.  Broken markup never fails, unclosed elements end with their parent."""
+    tree = _Tree(excluded)
     tree.feed(html)
     tree.close()
     return tree.root
 
 
-def read_page(html: str) -> list[tuple[str, int, str, str]]:
+def read_page(html: str, excluded: Sequence[str] = EXCLUDED) -> list[tuple[str, int, str, str]]:
     """(kind, ordinal, label, value) of a page: pair_table, pair_list, link, json_ld, meta, block, title, text."""
-    root = parse(html)
+    root = parse(html, excluded)
     out: list[tuple[str, str, str]] = []
     blocks: dict[str, dict[str, None]] = {t: {} for t in BLOCKS}
     for node in root.walk():
@@ -136,12 +138,15 @@ def read_page(html: str) -> list[tuple[str, int, str, str]]:
     return [(kind, i, label, value) for i, (kind, label, value) in enumerate(out)]
 
 
-def page_evidence(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """The evidence table (page_id, kind, ordinal, label, value) of all pages; null and empty pages give no rows."""
+def page_evidence(pages: DataFrame, key: str, html: str, excluded: Sequence[str] = EXCLUDED) -> DataFrame:
+    """The evidence table (page_id, kind, ordinal, label, value) of all pages; null and empty pages give no rows.
+
+    Pairs and blocks of sections with an ``excluded`` class or id word, and of what they hold, are left out.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(i, *r) for i, h in zip(batch["page_id"], batch["html"]) for r in read_page(h)]
+            rows = [(i, *r) for i, h in zip(batch["page_id"], batch["html"]) for r in read_page(h, excluded)]
             yield pd.DataFrame(rows, columns=["page_id", "kind", "ordinal", "label", "value"])
 
     return pages.where(F.col(html).isNotNull() & (F.col(html) != "")).select(F.col(key).cast("string").alias("page_id"), F.col(html).alias("html")).mapInPandas(read, EVIDENCE)
@@ -211,9 +216,16 @@ def station_access(c: Column, stations: Sequence[str] | None = None) -> Column:
     return F.filter(split, lambda s: s["minutes"].between(1, 120) & (s["station"].isin(*stations) if stations else F.lit(True)))
 
 
-def http_error_class(status: Column) -> Column:
-    """Class of a failed request by its status: which failures are worth another attempt follows from it."""
-    return (
-        F.when(status.isNull(), "network_error").when(status == 403, "forbidden").when(status.isin(404, 410), "not_found").when(status == 429, "rate_limited")
-        .when(status >= 500, "server_error").when(status >= 400, "client_error").otherwise(F.lit(None).cast("string"))
-    )
+def http_error_class(status: Column, timed_out: Column | None = None) -> Column:
+    """Class of a failed request by its status, or by whether it timed out; null for a status that is no failure.
+
+    A request without a status is a ``timeout`` if it timed out, else a ``network_error``.
+    """
+    late = F.coalesce(timed_out, F.lit(False)) if timed_out is not None else F.lit(False)
+    names = {"forbidden": status.isin(401, 403), "not_found": status.isin(404, 410), "rate_limited": status == 429, "server_error": status.between(500, 599), "client_error": status.between(400, 499), "timeout": status.isNull() & late, "network_error": status.isNull()}
+    return F.coalesce(*[F.when(c, F.lit(n)) for n, c in names.items()])
+
+
+def retry_delay(attempt: Column, retry_after: Column, longest: float = 4.0, asked: tuple[float, float] = (0.5, 8.0)) -> Column:
+    """Seconds to wait before another attempt: what the server asks for within bounds, else doubling up to ``longest``."""
+    return F.coalesce(F.greatest(F.least(retry_after.cast("double"), F.lit(asked[1])), F.lit(asked[0])), F.least(F.pow(F.lit(2.0), attempt), F.lit(longest)))

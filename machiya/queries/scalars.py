@@ -89,14 +89,36 @@ def alias_map(spark: SparkSession, folder: str) -> DataFrame:
     return d.select("status", text.alias_of(s, {"confirmed_ended": "ended", "observed_ended": "ended", "possibly_ended": "unsure"}).alias("state"))
 
 
-def tiered_identity(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "discovered_listings").where("snapshotSeq = 5")
+def _tiers(spark: SparkSession, folder: str) -> tuple[DataFrame, F.Column]:
+    d = table(spark, folder, "discovered_listings")
+    d = d.join(F.broadcast(d.agg(F.max("snapshotSeq").alias("snapshotSeq"))), "snapshotSeq", "left_semi")
     kept = text.first_usable([F.col("fullAddress"), F.col("address"), F.col("propertyAddress")], text.EMPTY_DETAIL)
     positive = lambda c: F.when((F.col(c) > 0) & ~F.isnan(c), F.col(c))
-    rows = d.select("propertyId", text.identity_address(kept).alias("a"), text.number_text(positive("landAreaM2")).alias("l"), text.number_text(positive("buildingAreaM2")).alias("b"), F.coalesce(F.col("constructionYear").cast("string"), F.lit("")).alias("y"), F.coalesce(text.layout_token(F.col("layout")), F.lit("")).alias("p")).distinct()
+    rows = d.select("propertyId", "source", "sourceId", text.identity_address(kept).alias("a"), text.number_text(positive("landAreaM2")).alias("l"), text.number_text(positive("buildingAreaM2")).alias("b"), F.coalesce(F.col("constructionYear").cast("string"), F.lit("")).alias("y"), F.coalesce(text.layout_token(F.col("layout")), F.lit("")).alias("p")).distinct()
     a, land, b, y, p = (F.col(c) for c in "albyp")
     key = decisions.tiered_key([("address_land_building", [a, land, b]), ("address_land_year_plan", [a, land, y, p]), ("address_building_year_plan", [a, b, y, p]), ("address_land", [a, land]), ("address_building", [a, b])], F.lit("house"))
-    return rows.select("propertyId", key["key"].alias("identityKey"), key["tier"].alias("tier"))
+    return rows, key
+
+
+def tiered_identity(spark: SparkSession, folder: str) -> DataFrame:
+    rows, key = _tiers(spark, folder)
+    return rows.select("propertyId", key["key"].alias("identityKey"), key["tier"].alias("tier")).distinct()
+
+
+def identity_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The public identity of each listing: its own id, else its tiered key, else a hash of what is known; and all aliases."""
+    rows, key = _tiers(spark, folder)
+    # sources that give no stable ids of their own are known by their content only
+    own = F.when(F.col("source") != "agency_site", F.col("propertyId"))
+    record = decisions.identity_record([("id", own), ("tier", key["key"])], F.concat_ws("|", "source", "sourceId", "a", "l", "b"), [F.col("propertyId"), F.col("sourceId")])
+    return rows.select("propertyId", record["key"].alias("identityKey"), record["kind"].alias("kind"), F.concat_ws(",", record["aliases"]).alias("aliases")).distinct()
+
+
+def information_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Dates that texts state of their own update."""
+    d = table(spark, folder, "documents")
+    stated = dates.labelled_date(F.col("text"), ["情報提供日", "（"]), dates.labelled_date(F.col("text"), ["次回更新予定日", "更新予定日"])
+    return d.select("doc_id", stated[0].alias("informationDate"), stated[1].alias("nextUpdate")).where("informationDate is not null or nextUpdate is not null")
 
 
 _W, _N = text.WIDE_DIGITS, text.DIGITS
@@ -114,7 +136,14 @@ _QEND = lambda c: f"CASE WHEN regexp_matches({c}, '(19|20)[0-9]{{2}}\\s*[Qq][1-4
 _FIRST = "coalesce(" + ", ".join(f"CASE WHEN {_STRIP(c)} NOT IN ('', '-', '－', '不明', '未定') THEN {_STRIP(c)} END" for c in ("fullAddress", "address", "propertyAddress")) + ")"
 _OKU = "'([0-9]+(?:\\.[0-9]+)?)\\s*億(?:\\s*([0-9]+(?:\\.[0-9]+)?)\\s*万)?'"
 
-QUERIES = {f.__name__: f for f in (lenient_number, text_clean, address_norm, hash_keys, layout_token, money_band, area_parse, quarter_end, age_years, elapsed_days, url_canonical, alias_map, tiered_identity)}
+QUERIES = {f.__name__: f for f in (lenient_number, text_clean, address_norm, hash_keys, layout_token, money_band, area_parse, quarter_end, age_years, elapsed_days, url_canonical, alias_map, tiered_identity, identity_records, information_dates)}
+
+_TIERS = f"""r AS (SELECT DISTINCT propertyId, source, sourceId, {_IDENT(_FIRST)} AS a, {_TXT('CASE WHEN landAreaM2 > 0 AND NOT isnan(landAreaM2) THEN landAreaM2 END')} AS l, {_TXT('CASE WHEN buildingAreaM2 > 0 AND NOT isnan(buildingAreaM2) THEN buildingAreaM2 END')} AS b,
+            coalesce(constructionYear::VARCHAR, '') AS y, coalesce({_LAYOUT('layout')}, '') AS p FROM discovered_listings WHERE snapshotSeq = (SELECT max(snapshotSeq) FROM discovered_listings)),
+        t AS (SELECT *, CASE WHEN a <> '' AND l <> '' AND b <> '' THEN 'address_land_building' WHEN a <> '' AND l <> '' AND y <> '' AND p <> '' THEN 'address_land_year_plan'
+            WHEN a <> '' AND b <> '' AND y <> '' AND p <> '' THEN 'address_building_year_plan' WHEN a <> '' AND l <> '' THEN 'address_land' WHEN a <> '' AND b <> '' THEN 'address_building' END AS tier FROM r),
+        k AS (SELECT DISTINCT propertyId, source, sourceId, a, l, b, 'property:' || substr(sha256(tier || '|' || CASE tier WHEN 'address_land_building' THEN concat_ws('|', a, l, b) WHEN 'address_land_year_plan' THEN concat_ws('|', a, l, y, p)
+            WHEN 'address_building_year_plan' THEN concat_ws('|', a, b, y, p) WHEN 'address_land' THEN concat_ws('|', a, l) ELSE concat_ws('|', a, b) END || '|house'), 1, 24) AS identityKey, tier FROM t)"""
 
 SQL = {
     "lenient_number": f"""SELECT TradePrice, Area, count(*) AS n, {_POS(_LEN('TradePrice'))} AS price, try_cast({_SGN('Area')} AS DOUBLE) AS areaNumber,
@@ -155,10 +184,11 @@ SQL = {
     "url_canonical": """SELECT DISTINCT sourceUrl, CASE WHEN regexp_matches(sourceUrl, '(?i)^https?://[^/]+.*/(?:nc_|b-)[0-9]+(?:/|$)') THEN regexp_replace(sourceUrl, '[?#].*$', '') END AS page,
         nullif(lower(regexp_extract(sourceUrl, '(?i)/((?:nc_|b-)[0-9]+)(?:/|$)', 1)), '') AS listingId, nullif(regexp_extract(sourceUrl, '^https?://([^/]+)', 1), '') AS host FROM discovered_listings""",
     "alias_map": f"""SELECT DISTINCT status, CASE lower({_STRIP('status')}) WHEN 'confirmed_ended' THEN 'ended' WHEN 'observed_ended' THEN 'ended' WHEN 'possibly_ended' THEN 'unsure' ELSE lower({_STRIP('status')}) END AS state FROM discovered_listings""",
-    "tiered_identity": f"""WITH r AS (SELECT DISTINCT propertyId, {_IDENT(_FIRST)} AS a, {_TXT('CASE WHEN landAreaM2 > 0 AND NOT isnan(landAreaM2) THEN landAreaM2 END')} AS l, {_TXT('CASE WHEN buildingAreaM2 > 0 AND NOT isnan(buildingAreaM2) THEN buildingAreaM2 END')} AS b,
-            coalesce(constructionYear::VARCHAR, '') AS y, coalesce({_LAYOUT('layout')}, '') AS p FROM discovered_listings WHERE snapshotSeq = 5),
-        t AS (SELECT *, CASE WHEN a <> '' AND l <> '' AND b <> '' THEN 'address_land_building' WHEN a <> '' AND l <> '' AND y <> '' AND p <> '' THEN 'address_land_year_plan'
-            WHEN a <> '' AND b <> '' AND y <> '' AND p <> '' THEN 'address_building_year_plan' WHEN a <> '' AND l <> '' THEN 'address_land' WHEN a <> '' AND b <> '' THEN 'address_building' END AS tier FROM r)
-        SELECT propertyId, 'property:' || substr(sha256(tier || '|' || CASE tier WHEN 'address_land_building' THEN concat_ws('|', a, l, b) WHEN 'address_land_year_plan' THEN concat_ws('|', a, l, y, p)
-            WHEN 'address_building_year_plan' THEN concat_ws('|', a, b, y, p) WHEN 'address_land' THEN concat_ws('|', a, l) ELSE concat_ws('|', a, b) END || '|house'), 1, 24) AS identityKey, tier FROM t""",
+    "tiered_identity": f"WITH {_TIERS} SELECT propertyId, identityKey, tier FROM k",
+    "identity_records": f"""WITH {_TIERS}, i AS (SELECT propertyId, CASE WHEN source <> 'agency_site' THEN propertyId END AS own, identityKey AS tk, sourceId,
+            'candidate:' || substr(sha256(concat_ws('|', source, sourceId, a, l, b)), 1, 24) AS fallback FROM k)
+        SELECT DISTINCT propertyId, coalesce(own, tk, fallback) AS identityKey, CASE WHEN own IS NOT NULL THEN 'id' WHEN tk IS NOT NULL THEN 'tier' ELSE 'candidate' END AS kind,
+            array_to_string(list_filter([coalesce(own, tk, fallback), own, tk, propertyId, sourceId], lambda x, j: x IS NOT NULL AND list_position([coalesce(own, tk, fallback), own, tk, propertyId, sourceId], x) = j), ',') AS aliases FROM i""",
+    "information_dates": """WITH d AS (SELECT doc_id, regexp_extract(text, '(?:情報提供日|（)\\s*[:：]?\\s*(20[0-9]{2})年\\s*([0-9]{1,2})月\\s*([0-9]{1,2})日', ['y', 'm', 'd']) AS i, regexp_extract(text, '(?:次回更新予定日|更新予定日)\\s*[:：]?\\s*(20[0-9]{2})年\\s*([0-9]{1,2})月\\s*([0-9]{1,2})日', ['y', 'm', 'd']) AS n FROM documents)
+        SELECT * FROM (SELECT doc_id, CASE WHEN i.y <> '' THEN printf('%04d-%02d-%02d', i.y::INT, i.m::INT, i.d::INT) END AS informationDate, CASE WHEN n.y <> '' THEN printf('%04d-%02d-%02d', n.y::INT, n.m::INT, n.d::INT) END AS nextUpdate FROM d) WHERE informationDate IS NOT NULL OR nextUpdate IS NOT NULL""",
 }

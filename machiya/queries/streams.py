@@ -1,4 +1,4 @@
-"""Queries that run a stream to its end; rows only, without SQL, but for the stateful changes."""
+"""Queries that run a stream to its end."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ from machiya.streaming.observations import changes, event_stream, run_to_end, se
 
 def session_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Every session of the table, those that are open at its end included."""
-    return run_to_end(sessions(event_stream(spark, folder, delay=None, files=None), "user_id", "ts", "12 hours"), "sessions", "complete")
+    out = run_to_end(sessions(event_stream(spark, folder, delay=None, files=None), "user_id", "ts", "12 hours"), "sessions", "complete")
+    return out.select("user_id", F.unix_micros("start").alias("startMicros"), F.unix_micros("end").alias("endMicros"), "events")
 
 
 def change_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +21,9 @@ def change_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {"session_stream": session_stream, "change_stream": change_stream}
 SQL = {
+    "session_stream": """WITH l AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 12 HOUR THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+        s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM l)
+        SELECT user_id, epoch_us(min(ts)) AS startMicros, epoch_us(max(ts) + INTERVAL 12 HOUR) AS endMicros, count(*) AS events FROM s GROUP BY user_id, n""",
     "change_stream": """WITH l AS (SELECT user_id, event_type, lag(event_type) OVER w AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_type))
         SELECT user_id, count(*) FILTER (b IS NULL OR b <> event_type) AS changes FROM l GROUP BY user_id""",
 }

@@ -146,10 +146,42 @@ def test_comparables_are_null_tolerant(spark):
     items = spark.createDataFrame([("a", "x", 100.0, None, None), ("b", None, 100.0, None, None), ("c", "x", None, None, 2000)], "k string, area string, l double, b double, y int")
     sales = spark.createDataFrame([("x", 10.0, 130.0, 1.0, None), ("x", 20.0, 200.0, None, 1970), ("x", 30.0, None, None, 2010), ("x", 0.0, 100.0, None, None)], "area string, p double, l double, b double, y int")
     names = {"key": "k", "land": "l", "building": "b", "year": "y"}
-    got = {r["key"]: (r["comparables"], r["medianPrice"]) for r in joins.comparables(items, sales, "area", names, names, "p", 0.35, 20).collect()}
+    got = {r["key"]: (r["comparables"], r["medianPrice"]) for r in joins.comparables(items, sales, "area", names, names, "p", 0.65, 1.35, 20).collect()}
     assert got == {"a": (2, 20.0), "b": (0, None), "c": (2, 20.0)}
 
 
+def test_comparables_and_similar_rows_match_brute_force(spark):
+    import random
+    from statistics import median
+
+    rng = random.Random(9)
+    size = lambda: rng.choice([None, 0.0, -1.0, round(rng.uniform(40, 300), 1), 100.0])
+    items = [(f"i{n}", rng.choice(["x", "y", None]), size(), size(), rng.choice([None, rng.randint(1970, 2020)]), rng.choice(["北町一", "南町", None])) for n in range(60)]
+    sales = [(rng.choice(["x", "y", None]), float(rng.choice([0, 10, 20, 30, 40])), size(), size(), rng.choice([None, rng.randint(1970, 2020)]), rng.choice(["北町", "南町", "", None])) for _ in range(150)]
+    ok = lambda a, b: a is None or b is None or a <= 0 or b <= 0 or a * 0.65 <= b <= a * 1.35
+    want = {}
+    for k, area, land, building, year, town in items:
+        near = [(p, d) for a, p, sl, sb, sy, d in sales if area and a == area and p > 0 and ok(land, sl) and ok(building, sb) and (year is None or sy is None or abs(year - sy) <= 10)]
+        own = [p for p, d in near if town and d and d in town]
+        ps, level = (own, "district") if len(own) >= 3 else ([p for p, _ in near], "area")
+        want[k] = (len(ps), median(ps) if ps else None, level)
+    i = spark.createDataFrame(items, "k string, area string, l double, b double, y int, town string")
+    o = spark.createDataFrame(sales, "area string, p double, l double, b double, y int, d string")
+    names = {"key": "k", "land": "l", "building": "b", "year": "y"}
+    got = {r["key"]: (r["comparables"], r["medianPrice"], r["level"]) for r in joins.comparables(i, o, "area", names, names, "p", 0.65, 1.35, 10, ("town", "d")).collect()}
+    assert got == want and {"district", "area"} == {v[2] for v in got.values()}
+
+    rows = [(f"r{n}", rng.choice(["x", "x", "y", None]), rng.choice([None, 0, 900_000, rng.randint(1, 90) * 1_000_000]), size()) for n in range(90)] + [("twin", "x", 5_000_000, 80.0), ("twin2", "x", 5_000_000, 80.0)]
+    known = lambda v: v is not None and v > 0
+    want = {}
+    for k, a, p, land in rows:
+        ps = [q for j, b, q, other in rows if j != k and a and a == b and known(p) and known(q) and abs(q - p) <= max(0.35 * p, 1e6) and (not known(land) or not known(other) or abs(other - land) <= max(25, 0.35 * land))]
+        want[k] = (len(ps), median(ps) if ps else None)
+    df = spark.createDataFrame(rows, "k string, area string, p bigint, l double")
+    got = {r["k"]: (r["similar"], r["medianPrice"]) for r in joins.similar_rows(df, "k", "area", "p", "l", 0.35, 1e6, 0.35, 25.0).collect()}
+    assert got == want and joins.similar_rows(df.limit(0), "k", "area", "p", "l", 0.35, 1e6, 0.35, 25.0).count() == 0
+
+
 def test_upsert_marks_missing(spark):
     schema = "k string, first int, last int, status string, p int"
     old = spark.createDataFrame([("a", 1, 5, "active", 9), ("b", 2, 5, "active", 8)], schema)
