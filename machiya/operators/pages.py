@@ -228,4 +228,5 @@ def http_error_class(status: Column, timed_out: Column | None = None) -> Column:
 
 def retry_delay(attempt: Column, retry_after: Column, longest: float = 4.0, asked: tuple[float, float] = (0.5, 8.0)) -> Column:
     """Seconds to wait before another attempt: what the server asks for within bounds, else doubling up to ``longest``."""
-    return F.coalesce(F.greatest(F.least(retry_after.cast("double"), F.lit(asked[1])), F.lit(asked[0])), F.least(F.pow(F.lit(2.0), attempt), F.lit(longest)))
+    stated = F.when(retry_after.isNotNull(), F.greatest(F.least(retry_after.cast("double"), F.lit(asked[1])), F.lit(asked[0])))
+    return F.coalesce(stated, F.least(F.pow(F.lit(2.0), attempt), F.lit(longest)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from machiya.functions import money, text
 from machiya.operators import pages
 from machiya.plans.parallel import spread
 from machiya.sources.tables import table
@@ -39,11 +40,38 @@ def page_fields(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    d = spread(table(spark, folder, "documents").where(F.contains("text", F.lit("<p>"))))
+    d = spread(table(spark, folder, "documents").where(F.col("text").rlike(r"(?i)<p[\s>]")))
     blocks = pages.page_evidence(d, "doc_id", "text").where("kind = 'block' and label = 'p'")
     return blocks.groupBy(F.col("page_id").cast("bigint").alias("doc_id")).agg(F.count("*").alias("blocks"))
 
 
+def _pages(spark: SparkSession, folder: str) -> DataFrame:
+    """A page for each reading of a listing: table and list pairs, a meta element, a next link, and a seller's section."""
+    d = table(spark, folder, "discovered_listings")
+    cell = lambda c, unit: F.concat(F.col(c).cast("string"), F.lit(unit))
+    none = F.lit("-")
+    land, building = (F.coalesce(F.when((F.col(c) > 0) & ~F.isnan(c), cell(c, u)), none) for c, u in (("landAreaM2", "m2"), ("buildingAreaM2", "㎡")))
+    price = F.coalesce(F.when(F.col("priceMan") > 0, cell("priceMan", "万円")), none)
+    parts = [
+        "<html><head><title>", F.col("propertyId"), "</title><meta name='Status' content='", F.coalesce("status", F.lit("")), "'></head><body><div class='Company-info'><table><tr><th>土地面積</th><td>999m2</td></tr></table></div>",
+        "<table><tr><th>土地面積<td>", land, "<th>建物面積<td>", building, "</table><dl><dt>価格<dd><b>", price, "</b> 税込</dl><script>var x = '<td>1m2';</script><a href='/p/", F.col("snapshotSeq").cast("string"), "' rel=next>次</a></body>",
+    ]
+    html = F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    return d.where("propertyId is not null").select(F.concat_ws("|", F.col("snapshotSeq"), "propertyId", F.xxhash64("status", "landAreaM2", "buildingAreaM2", "priceMan")).alias("page"), html.alias("html")).distinct()
+
+
+def page_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages written from listings and read again: fields by voted candidates, and links; a seller's section is left out."""
+    evidence = pages.page_evidence(spread(_pages(spark, folder)), "page", "html")
+    value = F.col("value")
+    rules = [
+        ("land", "pair_table", "土地面積", "table", 0.95, text.area_m2(value)), ("building", "pair_table", "建物面積", "table", 0.95, text.area_m2(value)),
+        ("price", "pair_list", "価格", "list", 0.9, money.money_yen(value)), ("status", "meta", "^status$", "meta", 0.8, F.nullif(text.strip(value), F.lit(""))), ("title", "title", "", "title", 0.8, value), ("next", "link", "next", "link", 0.9, value),
+    ]
+    won = pages.records(pages.vote(pages.field_candidates(evidence, rules), ["table"]), [r[0] for r in rules])
+    return won.groupBy("title", "next", F.col("land").cast("double").alias("land"), F.col("building").cast("double").alias("building"), F.col("price").cast("bigint").alias("price"), "status").agg(F.count("*").alias("pages"))
+
+
 def link_extract(spark: SparkSession, folder: str) -> DataFrame:
     d = table(spark, folder, "documents")
     links = d.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(r"(https?://[\x21-\x7e]+)"), 1)).alias("position", "url"))
@@ -67,9 +95,14 @@ _C = r"""c AS (SELECT doc_id, 'land' AS field, 'label' AS source, 950 AS conf, 0
     s AS (SELECT *, least(1000, conf + CASE WHEN votes >= 2 THEN 80 ELSE 0 END + CASE WHEN votes >= 3 THEN 40 ELSE 0 END + CASE WHEN source = 'label' THEN 30 ELSE 0 END)::INT AS score FROM n),
     w AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY doc_id, field ORDER BY score DESC, votes DESC, rule, k) = 1)"""
 
-QUERIES = {f.__name__: f for f in (candidate_vote, extraction_audit, page_fields, text_blocks, link_extract, station_walks)}
+QUERIES = {f.__name__: f for f in (candidate_vote, extraction_audit, page_fields, text_blocks, page_round_trip, link_extract, station_walks)}
 
 SQL = {
+    "text_blocks": r"""SELECT doc_id, len(l) AS blocks FROM (SELECT doc_id, list_distinct(list_filter(list_transform(string_split(text, '<p>')[2:], lambda x: trim(regexp_replace(replace(regexp_replace(
+            regexp_extract(x, '^(.*?)(?:</p>|$)', 1, 's'), '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '\s+', ' ', 'g'))), lambda x: x <> '' AND len(x) <= 1500)) AS l FROM documents WHERE contains(text, '<p>')) WHERE len(l) > 0""",
+    "page_round_trip": r"""SELECT propertyId AS title, '/p/' || snapshotSeq AS next, CASE WHEN landAreaM2 > 0 AND NOT isnan(landAreaM2) THEN landAreaM2 END AS land, CASE WHEN buildingAreaM2 > 0 AND NOT isnan(buildingAreaM2) THEN buildingAreaM2 END AS building,
+            CASE WHEN priceMan > 0 THEN priceMan::BIGINT * 10000 END AS price, nullif(regexp_replace(status, '^[\s　]+|[\s　]+$', '', 'g'), '') AS status, count(*) AS pages
+        FROM (SELECT DISTINCT snapshotSeq, propertyId, status, landAreaM2, buildingAreaM2, priceMan FROM discovered_listings WHERE propertyId IS NOT NULL) GROUP BY ALL""",
     "candidate_vote": f"WITH {_C} SELECT doc_id, field, value, source, score, votes, candidates FROM w",
     "extraction_audit": f"""WITH {_C} SELECT field, CASE WHEN value IS NULL THEN 'missing' WHEN score < 900 THEN 'weak' ELSE 'found' END AS status, source AS method, count(*) AS n, coalesce(sum(candidates), 0)::BIGINT AS candidates
         FROM (SELECT doc_id, f.field FROM documents, (VALUES ('land'), ('price')) f(field)) LEFT JOIN w USING (doc_id, field) GROUP BY ALL""",

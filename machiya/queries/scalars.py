@@ -108,8 +108,8 @@ def tiered_identity(spark: SparkSession, folder: str) -> DataFrame:
 def identity_records(spark: SparkSession, folder: str) -> DataFrame:
     """The public identity of each listing: its own id, else its tiered key, else a hash of what is known; and all aliases."""
     rows, key = _tiers(spark, folder)
-    # sources that give no stable ids of their own are known by their content only
-    own = F.when(F.col("source") != "agency_site", F.col("propertyId"))
+    # hand-entered records have no stable id of their own and are known by their content
+    own = F.when(F.col("source") != "manual", F.col("propertyId"))
     record = decisions.identity_record([("id", own), ("tier", key["key"])], F.concat_ws("|", "source", "sourceId", "a", "l", "b"), [F.col("propertyId"), F.col("sourceId")])
     return rows.select("propertyId", record["key"].alias("identityKey"), record["kind"].alias("kind"), F.concat_ws(",", record["aliases"]).alias("aliases")).distinct()
 
@@ -185,7 +185,7 @@ SQL = {
         nullif(lower(regexp_extract(sourceUrl, '(?i)/((?:nc_|b-)[0-9]+)(?:/|$)', 1)), '') AS listingId, nullif(regexp_extract(sourceUrl, '^https?://([^/]+)', 1), '') AS host FROM discovered_listings""",
     "alias_map": f"""SELECT DISTINCT status, CASE lower({_STRIP('status')}) WHEN 'confirmed_ended' THEN 'ended' WHEN 'observed_ended' THEN 'ended' WHEN 'possibly_ended' THEN 'unsure' ELSE lower({_STRIP('status')}) END AS state FROM discovered_listings""",
     "tiered_identity": f"WITH {_TIERS} SELECT propertyId, identityKey, tier FROM k",
-    "identity_records": f"""WITH {_TIERS}, i AS (SELECT propertyId, CASE WHEN source <> 'agency_site' THEN propertyId END AS own, identityKey AS tk, sourceId,
+    "identity_records": f"""WITH {_TIERS}, i AS (SELECT propertyId, CASE WHEN source <> 'manual' THEN propertyId END AS own, identityKey AS tk, sourceId,
             'candidate:' || substr(sha256(concat_ws('|', source, sourceId, a, l, b)), 1, 24) AS fallback FROM k)
         SELECT DISTINCT propertyId, coalesce(own, tk, fallback) AS identityKey, CASE WHEN own IS NOT NULL THEN 'id' WHEN tk IS NOT NULL THEN 'tier' ELSE 'candidate' END AS kind,
             array_to_string(list_filter([coalesce(own, tk, fallback), own, tk, propertyId, sourceId], lambda x, j: x IS NOT NULL AND list_position([coalesce(own, tk, fallback), own, tk, propertyId, sourceId], x) = j), ',') AS aliases FROM i""",

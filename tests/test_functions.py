@@ -169,3 +169,21 @@ def test_common_scales_are_chosen_jointly(spark):
     prior = amount_prior(usual, F.col("priceYen") * PRICE_YEN.own)
     got = common_scales(df.crossJoin(prior), {"priceYen": PRICE_YEN, "priceMan": PRICE_MAN}, F.col("center"), F.col("spread")).select("priceYen_common", "priceMan_common").collect()
     assert [tuple(r) for r in got] == [(42.9e6, 42.9e6), (33.9e6, 33.9e6), (43.2e6, 43.2e6), (168.5e6, 168.5e6), (20e6, 20e6), (173.3e6, None), (None, None), (None, 50e6)]
+
+
+@pytest.mark.parametrize("stated, expected", [("情報提供日：2026年4月5日 次回", "2026-04-05"), ("更新 2026年4月5日", None), (None, None)])
+def test_labelled_date(spark, stated, expected):
+    assert one(spark, lambda c: dates.labelled_date(c, ["情報提供日"]), stated) == expected
+
+
+@pytest.mark.parametrize("stated, expected", [("平成5年3月 2001年", ("2001-01", "year")), ("2001/4 2002年7月", ("2002-07", "month")), ("昭和60年", None), ("2001年13月", None), ("令和 2 年 11 月", ("2020-11", "month"))])
+def test_year_month_prefers(spark, stated, expected):
+    got = one(spark, dates.year_month, stated)
+    assert (None if got is None else tuple(got)) == expected
+
+
+def test_identity_record(spark):
+    df = spark.createDataFrame([("x:1", "property:k", "1"), (None, "property:k", " "), (" ", None, None), (None, None, "2")], "a string, b string, c string")
+    got = [r[0] for r in df.select(decisions.identity_record([("id", F.col("a")), ("tier", F.col("b"))], F.col("c"), [F.col("c")])).collect()]
+    assert [(g["kind"], list(g["aliases"])[1:]) for g in got] == [("id", ["property:k", "1"]), ("tier", []), ("candidate", []), ("candidate", ["2"])]
+    assert got[0]["key"] == "x:1" and got[2]["key"].startswith("candidate:") and got[2]["key"] != got[3]["key"]

@@ -109,3 +109,16 @@ def test_retrieval(spark):
 def test_error_classes(spark):
     df = spark.createDataFrame([(200,), (404,), (429,), (503,), (403,), (None,)], "s int")
     assert [r[0] for r in df.select(pages.http_error_class(F.col("s"))).collect()] == [None, "not_found", "rate_limited", "server_error", "forbidden", "network_error"]
+
+
+def test_error_classes_and_delays(spark):
+    df = spark.createDataFrame([(401, False, 1, None), (None, True, 2, 0.1), (None, None, 5, 60.0), (404, True, 0, 3.0)], "s int, late boolean, n int, after double")
+    assert [r[0] for r in df.select(pages.http_error_class(F.col("s"), F.col("late"))).collect()] == ["forbidden", "timeout", "network_error", "not_found"]
+    assert [r[0] for r in df.select(pages.retry_delay(F.col("n"), F.col("after"))).collect()] == [2.0, 0.5, 8.0, 3.0]
+
+
+def test_sections_of_the_seller_are_left_out():
+    html = "<div id='tenpo-info'><p>one</p></div><div class=footer><p>two</p></div><div class='Company'><table><tr><th>a<td>b</table></div>"
+    kinds = [(k, v) for k, _, _, v in pages.read_page(html) if k in ("block", "pair_table")]
+    assert ("block", "two") in kinds and ("block", "one") not in kinds and not [k for k, _ in kinds if k == "pair_table"]
+    assert ("block", "one") in [(k, v) for k, _, _, v in pages.read_page(html, ["footer"])]
