@@ -29,8 +29,9 @@ def connected_groups(pairs: DataFrame, left: str, right: str) -> DataFrame:
     Rows with a null id or twice the same id link nothing and give no node; repeated and turned pairs count once; an
     empty table gives no rows; other columns are ignored.  Each round lets every node take the smallest neighbour's
     label (aggregated before the shuffle, so a node in very many pairs costs one row per task), jumps pointers until
-    no label changes, and replaces the ends of every link by their labels.  At least half of the nodes that still have
-    links lose them per round, so the rounds grow with the logarithm of the nodes.  All states are written tables.
+    no label changes, and replaces the ends of every link by their labels.  Over two rounds at least half of the nodes
+    that still have links lose them (a star whose centre is its largest id keeps its leaves for one round), so the rounds
+    grow with the logarithm of the nodes.  All states are written tables.
     """
     a, b = F.col(left), F.col(right)
     links = pairs.where(a.isNotNull() & b.isNotNull() & (a != b)).select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
