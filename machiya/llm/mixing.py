@@ -66,7 +66,7 @@ def pack_blocks(texts: DataFrame, block: int = BLOCK) -> DataFrame:
     source that holds most rows is still spread over all shuffle partitions, and over ``BUCKETS`` tasks at least.
     """
     buckets = min(65536, max(BUCKETS, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    bucketed = texts.withColumn("bucket", F.floor(F.conv(F.substring("digest", 1, 4), 16, 10).cast("int") * buckets / 65536).cast("int"))
+    bucketed = texts.withColumn("bucket", F.floor(F.conv(F.substring("digest", 1, 4), 16, 10).cast("bigint") * buckets / 65536).cast("int"))
     sums = bucketed.groupBy("source", "bucket").agg(F.sum("tokens").alias("sum"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
@@ -132,8 +132,8 @@ def draw_slots(planned: DataFrame, block: int = BLOCK, slots: int = SHARD_SLOTS,
     if not total or shares.sum() <= 0:
         return spark.createDataFrame([], schema)
     shards = -(-total // slots)
-    runs = min(RUNS, shards)
-    width = -(-shards // runs)
+    width = -(-shards // RUNS)
+    runs = -(-shards // width)  # counted from their width, so that the last one has shards too
     chances = shares / shares.sum()
 
     def drawn(run: int) -> tuple[np.ndarray, np.ndarray]:

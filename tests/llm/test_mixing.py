@@ -78,6 +78,17 @@ def test_runs_of_shards_count_on(spark, monkeypatch):
         assert [r["first"] for r in mine] == [sum(x["count"] for x in mine[:i]) for i in range(len(mine))]
 
 
+@pytest.mark.parametrize("runs, slots", [(3, 64), (6, 25)])
+def test_every_run_has_shards(spark, monkeypatch, runs, slots):
+    # 4 and 10 shards: two runs of two, and five runs of two, where as many runs as allowed would leave the last one without
+    planned = spark.createDataFrame([("a", 0.6, 1000, 10, 2), ("b", 0.4, 1000, 3, 2)], "source string, share double, allTokens bigint, blocks bigint, max_repeats int")
+    alone = M.draw_slots(planned, 4, slots).orderBy("shard", "source").collect()
+    monkeypatch.setattr(M, "RUNS", runs)
+    drawn = M.draw_slots(planned, 4, slots)
+    assert drawn.orderBy("shard", "source").collect() == alone
+    assert sum(r["count"] for r in alone) == 250 == M.mixed_blocks(planned, drawn).count()
+
+
 def test_draws_do_not_depend_on_partitions(spark):
     texts = M.token_counts(docs(spark))
     a = M.draw_slots(M.plan(texts, targets(spark), 4), 4, slots=100).orderBy("shard", "source").collect()
