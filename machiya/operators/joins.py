@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from machiya.operators.bands import Sales
+from machiya.plans.durable import write_table
+from machiya.plans.skew import lookup_join
+
 
 #: Width of the logarithmic classes on which sizes within a band meet.
 CLASS_WIDTH = 0.25
 #: Rows of one block that meet a whole block in one part; larger blocks are dealt to more parts.
 BLOCK_PART = 1000
-
-
-def within(a: Column, b: Column, low: Column | float, high: Column | float) -> Column:
-    """True if b lies in ``a * low`` to ``a * high``, or either is unknown or not positive."""
-    known = (a > 0) & (b > 0)
-    return F.coalesce(~known | b.between(a * low, a * high), F.lit(True))
+#: Sales and items that meet in one step of ``comparables``, about.
+SALES_CHUNK, ITEMS_PART = 1 << 18, 1 << 16
 
 
 def _class(x: Column) -> Column:
@@ -83,6 +84,12 @@ def pair_score(parts: Sequence[tuple[Column, int]]) -> Column:
     return sum((F.when(c, F.lit(p)).otherwise(0) for c, p in parts), F.lit(0))
 
 
+def _price_chunks(offered: DataFrame, n: int, columns: Sequence[str]) -> DataFrame:
+    """Sales with their ``chunk``: ranges of about ``SALES_CHUNK`` rows by area and price, numbered in order."""
+    ranges = -(-n // SALES_CHUNK)
+    return offered.repartitionByRange(max(1, ranges), *columns).withColumn("chunk", F.spark_partition_id())
+
+
 def comparables(
     items: DataFrame, sales: DataFrame, area: str, item_columns: Mapping[str, str], sale_columns: Mapping[str, str], price: str, low: float, high: float, years: int, district: tuple[str, str] | None = None, fewest: int = 3
 ) -> DataFrame:
@@ -90,46 +97,79 @@ def comparables(
 
     A sale is comparable in the same area if its sizes lie in ``low`` to ``high`` of the item's and its year within
     ``years``, where both are known; ``item_columns`` and ``sale_columns`` name ``key``, ``land``, ``building`` and
-    ``year``.  ``district`` names a column of items whose text must contain a column of sales: where at least ``fewest``
-    comparable sales are of the item's district they alone count (level ``district``), else all (``area``).
-
-    Items and sales are first reduced to their distinct characteristics, so equal ones are compared once.  They meet on
-    equal keys of area and logarithmic size classes: an item meets the few classes of its bands and the sales of unknown
-    size; an item of unknown size meets sales under a key without that size.  So a large area is split by its sizes, and
-    hardly a pair is formed that is not comparable.  Medians are taken over prices with their counts.
+    ``year``.  Sizes that are NaN or not positive are unknown.  ``district`` names a column of items whose text must
+    contain a column of sales: where at least ``fewest`` comparable sales are of the item's district they alone count
+    (level ``district``), else all (``area``).
+
+    Items and sales are first reduced to their distinct characteristics, so equal ones are compared once.  No pair is
+    formed: sales are cut into chunks by area and price, and an item's comparable sales of a chunk are the intersection
+    of bitsets (``bands.py``), 64 sales at a time.  First each item counts them per chunk; the counts tell which chunk
+    has the middle ranks, and there the price at these ranks is looked up.  A task holds one chunk of about
+    ``SALES_CHUNK`` sales and at most about ``ITEMS_PART`` items, however many an area has.
     """
+    spark = items.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    number = lambda names, k: F.col(names[k]).cast("double")
+    text = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
     kinds = ("land", "building", "year")
-    tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    traits = [F.col(item_columns[k]).cast("double").alias(f"i_{k}") for k in kinds] + [(F.col(district[0]) if district else F.lit(None).cast("string")).alias("i_district")]
     names = [f"i_{k}" for k in (*kinds, "district")]
-    wanted = items.select(F.col(area).alias("area"), *traits).where("area is not null").distinct()
-    offered = sales.where((F.col(price) > 0) & F.col(area).isNotNull()).groupBy(
-        F.col(area).alias("s_area"), *[F.col(sale_columns[k]).cast("double").alias(f"s_{k}") for k in kinds], (F.col(district[1]) if district else F.lit(None).cast("string")).alias("s_district"), F.col(price).alias("s_price")
-    ).agg(F.count("*").alias("s_n"))
-    word = lambda c: F.coalesce(c.cast("string"), F.lit("u"))
-    key = lambda x, y: F.concat_ws("|", x, y)
-    # an item: its classes and unknown; or "*", if it has no size of that kind itself
-    reach = [F.coalesce(F.transform(F.concat(_class_span(F.when(c > 0, c * low), F.when(c > 0, c * high)), F.array(F.lit(None).cast("bigint"))), word), F.array(F.lit("*"))) for c in (F.col("i_land"), F.col("i_building"))]
-    wanted_keys = F.flatten(F.transform(reach[0], lambda x: F.transform(reach[1], lambda y: key(x, y))))
-    # a sale: its own class or unknown, and "*"
-    has = [F.array(word(_class(c)), F.lit("*")) for c in (F.col("s_land"), F.col("s_building"))]
-    offered_keys = F.flatten(F.transform(has[0], lambda x: F.transform(has[1], lambda y: key(x, y))))
-    left = wanted.withColumn("class", F.explode(wanted_keys)).repartition(tasks, "area", "class")
-    right = offered.withColumn("s_class", F.explode(offered_keys)).repartition(tasks, "s_area", "s_class")
-    years_ok = F.coalesce(F.abs(F.col("i_year") - F.col("s_year")) <= years, F.lit(True))
-    on = (F.col("area") == F.col("s_area")) & (F.col("class") == F.col("s_class")) & within(F.col("i_land"), F.col("s_land"), low, high) & within(F.col("i_building"), F.col("s_building"), low, high) & years_ok
-    near = F.coalesce(F.contains("i_district", "s_district") & (F.col("s_district") != ""), F.lit(False))
-    prices = left.join(right, on).groupBy("area", *names, "s_price").agg(F.sum("s_n").alias("n"), F.sum(F.when(near, F.col("s_n")).otherwise(0)).alias("m"))
-    found = prices.groupBy("area", *names).agg(
-        F.sum("n").alias("all"), F.percentile("s_price", F.lit(0.5), F.col("n")).alias("all_median"), F.sum("m").alias("own"), F.percentile(F.when(F.col("m") > 0, F.col("s_price")), F.lit(0.5), F.greatest("m", F.lit(1))).alias("own_median")
-    )
-    each = items.select(F.col(item_columns["key"]).alias("key"), F.col(area).alias("_area"), *[t.alias(f"_{n}") for t, n in zip(traits, names)])
-    same = F.col("_area") == F.col("area")
+    traits = ["area", *names]
+    # null for unknown, as frames of Python know no difference to NaN
+    usable = lambda k: F.when((number(item_columns, k) > 0 if k != "year" else F.lit(True)) & ~F.isnan(number(item_columns, k)), number(item_columns, k))
+    each = write_table(items.select(F.col(item_columns["key"]).alias("key"), text(area).alias("area"), *[usable(k).alias(f"i_{k}") for k in kinds], text(district and district[0]).alias("i_district")), "items").df
+    wanted = write_table(each.where("area is not null").select(*traits).distinct(), "wanted").df
+    offered_by = ["s_area", "s_price", *[f"s_{k}" for k in (*kinds, "district")]]
+    # the price is looked at when it is written: a filter before would read it from its text twice
+    offered = sales.where(F.col(area).isNotNull()).select(
+        text(area).alias("s_area"), F.col(price).cast("double").alias("s_price"), *[number(sale_columns, k).alias(f"s_{k}") for k in kinds], text(district and district[1]).alias("s_district")
+    ).groupBy(*offered_by).agg(F.count("*").alias("s_n"))
+    sums = write_table(offered, "sales")
+    priced = sums.df.where("s_price > 0")
+    chunks = write_table(_price_chunks(priced, priced.count(), offered_by), "chunks").df
+    sums.drop()
+    # of each area that has both: its chunks of sales, and to how many parts its items are dealt
+    parts = wanted.groupBy("area").agg(F.ceil(F.count("*") / ITEMS_PART).cast("int").alias("parts"))
+    places = write_table(chunks.groupBy(F.col("s_area").alias("at")).agg(F.collect_set("chunk").alias("chunks")).join(parts, F.col("at") == F.col("area")).drop("area"), "places").df
+    dealt = lookup_join(wanted, places, "area", "at", "inner").select(*traits, F.explode("chunks").alias("chunk"), F.pmod(F.xxhash64(*names), F.col("parts")).cast("int").alias("part"))
+    right = lookup_join(chunks, places.drop("chunks"), "s_area", "at", "inner").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("at", "parts")
+    right = right.repartition(tasks, "s_area", "chunk", "part").groupBy("s_area", "chunk", "part")
+    local = district is not None
+
+    def count(these: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
+        if these.empty or those.empty:
+            return pd.DataFrame(columns=[*traits, "chunk", "part", "all", "own"])
+        sales = Sales(those)
+        these = these.sort_values(["i_land", "i_building"])
+        met = [(sales.count(bits), sales.count(own()) if local else 0) for bits, own in sales.met(these, low, high, years)]
+        these["all"], these["own"] = [m[0] for m in met], [m[1] for m in met]
+        return these[these["all"] > 0]
+
+    def look_up(these: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
+        if these.empty or those.empty:
+            return pd.DataFrame(columns=[*traits, "local", "n", "lowPrice", "highPrice"])
+        sales = Sales(those)
+        these = these.sort_values(["i_land", "i_building"])
+        ranks = zip(these["local"], these["lower"], these["upper"])
+        prices = [sales.price_at(own() if by_district else bits, (a, b)) for (bits, own), (by_district, a, b) in zip(sales.met(these, low, high, years), ranks)]
+        these["lowPrice"], these["highPrice"] = [p[0] for p in prices], [p[1] for p in prices]
+        return these[[*traits, "local", "n", "lowPrice", "highPrice"]]
+
+    kept = "area string, i_land double, i_building double, i_year double, i_district string"
+    by = ["area", "chunk", "part"]
+    counted = dealt.repartition(tasks, *by).groupBy(*by).cogroup(right).applyInPandas(count, f"{kept}, chunk int, part int, all bigint, own bigint")
+    item = Window.partitionBy(*traits)
+    before = item.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("local", F.sum("own").over(item) >= fewest if local else F.lit(False)).withColumn("here", F.when(F.col("local"), F.col("own")).otherwise(F.col("all")))
+    counted = counted.withColumns({"n": F.sum("here").over(item), "before": F.coalesce(F.sum("here").over(before), F.lit(0))})
+    place = lambda rank: F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("here")), rank - F.col("before")).otherwise(-1)
+    ranked = counted.withColumns({"lower": place(F.floor((F.col("n") - 1) / 2)), "upper": place(F.floor(F.col("n") / 2))}).where("lower >= 0 or upper >= 0")
+    ranked = ranked.select(*traits, "chunk", "part", "local", "n", "lower", "upper")
+    middle = ranked.repartition(tasks, *by).groupBy(*by).cogroup(right).applyInPandas(look_up, f"{kept}, local boolean, n bigint, lowPrice double, highPrice double")
+    found = middle.groupBy(*traits).agg(F.max("local").alias("local"), F.max("n").alias("n"), (F.max("lowPrice") * 0.5 + F.max("highPrice") * 0.5).alias("median")).withColumnsRenamed({t: f"_{t}" for t in traits})
+    same = F.col("area") == F.col("_area")
     for n in names:
-        same = same & F.col(f"_{n}").eqNullSafe(F.col(n))
-    local = F.coalesce(F.col("own") >= fewest, F.lit(False)) if district else F.lit(False)
-    both = each.join(found, same, "left")
-    return both.select("key", F.when(local, F.col("own")).otherwise(F.coalesce("all", F.lit(0))).alias("comparables"), F.when(local, F.col("own_median")).otherwise(F.col("all_median")).alias("medianPrice"), F.when(local, "district").otherwise("area").alias("level"))
+        same = same & F.col(n).eqNullSafe(F.col(f"_{n}"))
+    return each.join(found, same, "left").select("key", F.coalesce("n", F.lit(0)).alias("comparables"), F.col("median").alias("medianPrice"), F.when(F.col("local"), "district").otherwise("area").alias("level"))
 
 
 def similar_rows(df: DataFrame, key: str, area: str, price: str, land: str, price_share: float, price_least: float, land_share: float, land_least: float) -> DataFrame:

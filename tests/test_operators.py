@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -150,6 +151,52 @@ def test_comparables_are_null_tolerant(spark):
     assert got == {"a": (2, 20.0), "b": (0, None), "c": (2, 20.0)}
 
 
+def join_rows(plan):
+    """Rows that each join of an executed plan gave."""
+    name = plan.nodeName()
+    inner = [plan.executedPlan()] if name == "AdaptiveSparkPlan" else [plan.plan()] if name.endswith("QueryStage") else [plan.children().apply(i) for i in range(plan.children().size())]
+    own = [plan.metrics().apply("numOutputRows").value()] if "Join" in name else []
+    return own + [n for p in inner for n in join_rows(p)]
+
+
+def test_comparables_form_no_pairs(spark):
+    items = spark.range(300).selectExpr("id k", "'x' area", "100.0 + id / 100 l", "cast(null as double) b", "2000 y", "'北町' town")
+    sales = spark.range(3000).selectExpr("'x' area", "1.0 + id p", "100.0 l", "80.0 b", "2001 y", "if(id % 3 = 0, '北町', '南町') d")
+    names = {"key": "k", "land": "l", "building": "b", "year": "y"}
+    for district, want in ((None, (3000, 1500.5, "area")), (("town", "d"), (1000, 1499.5, "district"))):
+        df = joins.comparables(items, sales, "area", names, names, "p", 0.65, 1.35, 20, district)
+        got = df.collect()
+        assert len(got) == 300 and {tuple(r)[1:] for r in got} == {want}
+        assert max(join_rows(df._jdf.queryExecution().executedPlan())) <= 3000  # not 900,000 pairs
+
+
+@pytest.mark.parametrize("chunk, part, repeats", [(7, 5, 1), (40, 9, 3), (1000, 1000, 1), (1000, 20, 9)])
+def test_comparables_of_many_chunks_match_brute_force(spark, monkeypatch, chunk, part, repeats):
+    from statistics import median
+
+    monkeypatch.setattr(joins, "SALES_CHUNK", chunk)
+    monkeypatch.setattr(joins, "ITEMS_PART", part)
+    rng = random.Random(chunk + repeats)
+    size = lambda: rng.choice([None, 0.0, -1.0, float("nan"), round(rng.uniform(40, 300), 1), 65.0, 100.0, 135.0])
+    items = [(f"i{n}", rng.choice(["x", "x", "y", "z", None]), size(), size(), rng.choice([None, rng.randint(1970, 2020)]), rng.choice(["北町一", "南町", "", None])) for n in range(60)]
+    sales = [(rng.choice(["x", "x", "y", "w", None]), rng.choice([None, 0.0, 10.0, 20.0, 30.0, round(rng.uniform(1, 90), 2)]), size(), size(), rng.choice([None, rng.randint(1970, 2020)]), rng.choice(["北町", "南町", "", None])) for _ in range(150)]
+    sales += [s for s in sales for _ in range(rng.choice([0, 1, repeats, 4 * repeats]) if repeats > 1 else 0)]
+    unknown = lambda v: v is None or not v > 0
+    ok = lambda a, b: unknown(a) or unknown(b) or a * 0.65 <= b <= a * 1.35
+    for district in (None, ("town", "d")):
+        want = {}
+        for k, area, land, building, year, town in items:
+            near = [(p, d) for a, p, sl, sb, sy, d in sales if area and a == area and p and ok(land, sl) and ok(building, sb) and (year is None or sy is None or abs(year - sy) <= 10)]
+            own = [p for p, d in near if district and town and d and d in town]
+            ps, level = (own, "district") if len(own) >= 3 else ([p for p, _ in near], "area")
+            want[k] = (len(ps), pytest.approx(median(ps)) if ps else None, level)
+        i = spark.createDataFrame(items, "k string, area string, l double, b double, y int, town string")
+        o = spark.createDataFrame(sales, "area string, p double, l double, b double, y int, d string")
+        names = {"key": "k", "land": "l", "building": "b", "year": "y"}
+        got = {r["key"]: (r["comparables"], r["medianPrice"], r["level"]) for r in joins.comparables(i, o, "area", names, names, "p", 0.65, 1.35, 10, district).collect()}
+        assert got == want
+
+
 def test_comparables_and_similar_rows_match_brute_force(spark):
     import random
     from statistics import median
