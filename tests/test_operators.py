@@ -159,15 +159,15 @@ def join_rows(plan):
     return own + [n for p in inner for n in join_rows(p)]
 
 
-def test_comparables_form_no_pairs(spark):
+@pytest.mark.parametrize("district, want", [(None, (3000, 1500.5, "area")), (("town", "d"), (1000, 1499.5, "district"))], ids=["comparables", "valuation_comparables"])
+def test_comparables_form_no_pairs(spark, district, want):
     items = spark.range(300).selectExpr("id k", "'x' area", "100.0 + id / 100 l", "cast(null as double) b", "2000 y", "'北町' town")
     sales = spark.range(3000).selectExpr("'x' area", "1.0 + id p", "100.0 l", "80.0 b", "2001 y", "if(id % 3 = 0, '北町', '南町') d")
     names = {"key": "k", "land": "l", "building": "b", "year": "y"}
-    for district, want in ((None, (3000, 1500.5, "area")), (("town", "d"), (1000, 1499.5, "district"))):
-        df = joins.comparables(items, sales, "area", names, names, "p", 0.65, 1.35, 20, district)
-        got = df.collect()
-        assert len(got) == 300 and {tuple(r)[1:] for r in got} == {want}
-        assert max(join_rows(df._jdf.queryExecution().executedPlan())) <= 3000  # not 900,000 pairs
+    df = joins.comparables(items, sales, "area", names, names, "p", 0.65, 1.35, 20, district)
+    got = df.collect()
+    assert len(got) == 300 and {tuple(r)[1:] for r in got} == {want}
+    assert max(join_rows(df._jdf.queryExecution().executedPlan())) <= 3000  # not 900,000 pairs
 
 
 @pytest.mark.parametrize("chunk, part, repeats", [(7, 5, 1), (40, 9, 3), (1000, 1000, 1), (1000, 20, 9)])
