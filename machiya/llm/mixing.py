@@ -155,8 +155,9 @@ def draw_slots(planned: DataFrame, block: int = BLOCK, slots: int = SHARD_SLOTS,
     tasks = min(runs, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     sums = spark.range(0, runs, 1, tasks).mapInPandas(add_up, "run bigint, at int, sum bigint")
     before = Window.partitionBy("at").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)  # RUNS rows at most
+    # dealt in turn: a repartition by run, as the runs lie already, is left out of the plan, and then few bytes are one task
     offsets = sums.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0))).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("at", "before"))).alias("b"))
-    return offsets.select("run", F.transform("b", lambda x: x["before"]).alias("before")).repartition(tasks, "run").mapInPandas(count_on, schema)
+    return offsets.select("run", F.transform("b", lambda x: x["before"]).alias("before")).repartition(tasks).mapInPandas(count_on, schema)
 
 
 def mixed_blocks(planned: DataFrame, drawn: DataFrame, seed: int = 17) -> DataFrame:

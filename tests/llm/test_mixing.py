@@ -89,6 +89,11 @@ def test_every_run_has_shards(spark, monkeypatch, runs, slots):
     assert sum(r["count"] for r in alone) == 250 == M.mixed_blocks(planned, drawn).count()
 
 
+def test_runs_are_drawn_by_all_tasks(spark):
+    planned = spark.createDataFrame([("a", 0.6, 10_000, 10, 2), ("b", 0.4, 10_000, 3, 2)], "source string, share double, allTokens bigint, blocks bigint, max_repeats int")
+    assert M.draw_slots(planned, 4, slots=25).rdd.getNumPartitions() == 4
+
+
 def test_draws_do_not_depend_on_partitions(spark):
     texts = M.token_counts(docs(spark))
     a = M.draw_slots(M.plan(texts, targets(spark), 4), 4, slots=100).orderBy("shard", "source").collect()
