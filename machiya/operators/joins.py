@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from machiya.operators.bands import Sales
 from machiya.plans.durable import write_table
-from machiya.plans.skew import lookup_join
+from machiya.plans.skew import HOT_ROWS, HOT_SHARE, lookup_join
 
 
 #: Width of the logarithmic classes on which sizes within a band meet.
@@ -19,7 +20,9 @@ CLASS_WIDTH = 0.25
 #: Rows of one block that meet a whole block in one part; larger blocks are dealt to more parts.
 BLOCK_PART = 1000
 #: Sales and items that meet in one step of ``comparables``, about.
-SALES_CHUNK, ITEMS_PART = 1 << 18, 1 << 16
+SALES_CHUNK, ITEMS_PART = 1 << 20, 1 << 15
+#: Areas up to this number are broadcast or named; more are joined by their hash.
+FEW_AREAS = 10_000
 
 
 def _class(x: Column) -> Column:
@@ -84,10 +87,11 @@ def pair_score(parts: Sequence[tuple[Column, int]]) -> Column:
     return sum((F.when(c, F.lit(p)).otherwise(0) for c, p in parts), F.lit(0))
 
 
-def _price_chunks(offered: DataFrame, n: int, columns: Sequence[str]) -> DataFrame:
-    """Sales with their ``chunk``: ranges of about ``SALES_CHUNK`` rows by area and price, numbered in order."""
-    ranges = -(-n // SALES_CHUNK)
-    return offered.repartitionByRange(max(1, ranges), *columns).withColumn("chunk", F.spark_partition_id())
+def _price_bounds(offered: DataFrame, places: DataFrame, most: int) -> DataFrame:
+    """(b_area, bounds): prices that cut the sales of each area of ``places`` into its number of ``chunks``, about evenly."""
+    cuts = F.percentile_approx("s_price", [j / most for j in range(1, most)], max(10_000, 100 * most))
+    cut = offered.groupBy(F.col("s_area").alias("b_area")).agg(cuts.alias("cuts")).join(places, F.col("b_area") == F.col("at"))
+    return cut.select("b_area", F.transform(F.sequence(F.lit(1), F.col("chunks") - 1), lambda j: F.element_at("cuts", F.floor(j * most / F.col("chunks")).cast("int"))).alias("bounds"))
 
 
 def comparables(
@@ -101,14 +105,14 @@ def comparables(
     contain a column of sales: where at least ``fewest`` comparable sales are of the item's district they alone count
     (level ``district``), else all (``area``).
 
-    Items and sales are first reduced to their distinct characteristics, so equal ones are compared once.  No pair is
-    formed: sales are cut into chunks by area and price, and an item's comparable sales of a chunk are the intersection
-    of bitsets (``bands.py``), 64 sales at a time.  First each item counts them per chunk; the counts tell which chunk
-    has the middle ranks, and there the price at these ranks is looked up.  A task holds one chunk of about
-    ``SALES_CHUNK`` sales and at most about ``ITEMS_PART`` items, however many an area has.
+    Items are first reduced to their distinct characteristics, so equal ones are compared once.  No pair is formed: an
+    item's comparable sales are the intersection of bitsets over sales in order of price (``bands.py``), 64 sales at a
+    time, and the middle of them is looked up there.  An area of more than ``SALES_CHUNK`` sales is cut into chunks by
+    price: there each item first counts its sales per chunk, and the price is looked up in the chunk that the counts
+    tell to have the middle ranks.  A task holds one chunk of about ``SALES_CHUNK`` sales and at most about
+    ``ITEMS_PART`` items, however many an area has.
     """
-    spark = items.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number = lambda names, k: F.col(names[k]).cast("double")
     text = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
     kinds = ("land", "building", "year")
@@ -118,54 +122,90 @@ def comparables(
     usable = lambda k: F.when((number(item_columns, k) > 0 if k != "year" else F.lit(True)) & ~F.isnan(number(item_columns, k)), number(item_columns, k))
     each = write_table(items.select(F.col(item_columns["key"]).alias("key"), text(area).alias("area"), *[usable(k).alias(f"i_{k}") for k in kinds], text(district and district[0]).alias("i_district")), "items").df
     wanted = write_table(each.where("area is not null").select(*traits).distinct(), "wanted").df
-    offered_by = ["s_area", "s_price", *[f"s_{k}" for k in (*kinds, "district")]]
-    # the price is looked at when it is written: a filter before would read it from its text twice
     offered = sales.where(F.col(area).isNotNull()).select(
         text(area).alias("s_area"), F.col(price).cast("double").alias("s_price"), *[number(sale_columns, k).alias(f"s_{k}") for k in kinds], text(district and district[1]).alias("s_district")
-    ).groupBy(*offered_by).agg(F.count("*").alias("s_n"))
-    sums = write_table(offered, "sales")
-    priced = sums.df.where("s_price > 0")
-    chunks = write_table(_price_chunks(priced, priced.count(), offered_by), "chunks").df
-    sums.drop()
-    # of each area that has both: its chunks of sales, and to how many parts its items are dealt
+    )
+    # of each area that has both, numbered: its chunks of sales, and to how many parts its items are dealt
     parts = wanted.groupBy("area").agg(F.ceil(F.count("*") / ITEMS_PART).cast("int").alias("parts"))
-    places = write_table(chunks.groupBy(F.col("s_area").alias("at")).agg(F.collect_set("chunk").alias("chunks")).join(parts, F.col("at") == F.col("area")).drop("area"), "places").df
-    dealt = lookup_join(wanted, places, "area", "at", "inner").select(*traits, F.explode("chunks").alias("chunk"), F.pmod(F.xxhash64(*names), F.col("parts")).cast("int").alias("part"))
-    right = lookup_join(chunks, places.drop("chunks"), "s_area", "at", "inner").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("at", "parts")
-    right = right.repartition(tasks, "s_area", "chunk", "part").groupBy("s_area", "chunk", "part")
-    local = district is not None
-
-    def count(these: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
-        if these.empty or those.empty:
-            return pd.DataFrame(columns=[*traits, "chunk", "part", "all", "own"])
-        sales = Sales(those)
-        these = these.sort_values(["i_land", "i_building"])
-        met = [(sales.count(bits), sales.count(own()) if local else 0) for bits, own in sales.met(these, low, high, years)]
-        these["all"], these["own"] = [m[0] for m in met], [m[1] for m in met]
-        return these[these["all"] > 0]
-
-    def look_up(these: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
-        if these.empty or those.empty:
-            return pd.DataFrame(columns=[*traits, "local", "n", "lowPrice", "highPrice"])
-        sales = Sales(those)
-        these = these.sort_values(["i_land", "i_building"])
-        ranks = zip(these["local"], these["lower"], these["upper"])
-        prices = [sales.price_at(own() if by_district else bits, (a, b)) for (bits, own), (by_district, a, b) in zip(sales.met(these, low, high, years), ranks)]
-        these["lowPrice"], these["highPrice"] = [p[0] for p in prices], [p[1] for p in prices]
-        return these[[*traits, "local", "n", "lowPrice", "highPrice"]]
+    amounts = offered.groupBy(F.col("s_area").alias("at")).agg(F.count("*").alias("sales"))
+    both = amounts.join(parts, F.col("at") == F.col("area")).select("at", "sales", F.ceil(F.col("sales") / SALES_CHUNK).cast("int").alias("chunks"), "parts")
+    places = write_table(both.coalesce(1).withColumn("no", F.monotonically_increasing_id()), "places").df
+    total, areas, most = places.agg(F.sum("sales"), F.count("*"), F.max("chunks")).first()
+    large = [r[0] for r in places.where("chunks > 1").select("at").collect()]
+    # few areas are named, so that the sales of others are not read
+    of_large = offered.where(F.col("s_area").isin(large)) if len(large) <= FEW_AREAS else offered
+    if large:
+        bounds = _price_bounds(of_large, places.where("chunks > 1"), most)
+        places = write_table(places.join(bounds, F.col("at") == F.col("b_area"), "left").drop("b_area"), "bounds").df
+    hot = None if areas <= FEW_AREAS else [r[0] for r in places.where(F.col("sales") > max(HOT_ROWS, int(total * HOT_SHARE))).select("at").collect()]
+
+    def placed(df: DataFrame, key: str, places: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(places), F.col(key) == F.col("at")) if hot is None else lookup_join(df, places, key, "at", "inner", hot=hot)
+
+    def slot(chunk: Column, part: Column) -> Column:
+        return F.col("no") * (1 << 40) + chunk.cast("bigint") * (1 << 20) + part
+
+    def supply(offered: DataFrame, places: DataFrame):
+        """The sales by slot: each chunk of an area comes once for each part of its items."""
+        below = lambda f: F.size(F.filter("bounds", f))
+        first, last = below(lambda x: x < F.col("s_price")), below(lambda x: x <= F.col("s_price"))
+        # sales at a price that is a bound may be on either side of it
+        chunk = F.when(F.col("chunks") > 1, first + F.pmod(F.xxhash64("s_land", "s_building", "s_year", "s_district"), last - first + 1)).otherwise(0) if large else F.lit(0)
+        # sales without a price are left to ``Sales``: a filter here would read every price from its text twice
+        dealt = placed(offered, "s_area", places).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return dealt.select(slot(chunk, F.col("part")).alias("slot"), "s_price", *[f"s_{k}" for k in (*kinds, "district")]).repartition(tasks, "slot").groupBy("slot")
 
+    local = district is not None
     kept = "area string, i_land double, i_building double, i_year double, i_district string"
-    by = ["area", "chunk", "part"]
-    counted = dealt.repartition(tasks, *by).groupBy(*by).cogroup(right).applyInPandas(count, f"{kept}, chunk int, part int, all bigint, own bigint")
-    item = Window.partitionBy(*traits)
-    before = item.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    counted = counted.withColumn("local", F.sum("own").over(item) >= fewest if local else F.lit(False)).withColumn("here", F.when(F.col("local"), F.col("own")).otherwise(F.col("all")))
-    counted = counted.withColumns({"n": F.sum("here").over(item), "before": F.coalesce(F.sum("here").over(before), F.lit(0))})
-    place = lambda rank: F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("here")), rank - F.col("before")).otherwise(-1)
-    ranked = counted.withColumns({"lower": place(F.floor((F.col("n") - 1) / 2)), "upper": place(F.floor(F.col("n") / 2))}).where("lower >= 0 or upper >= 0")
-    ranked = ranked.select(*traits, "chunk", "part", "local", "n", "lower", "upper")
-    middle = ranked.repartition(tasks, *by).groupBy(*by).cogroup(right).applyInPandas(look_up, f"{kept}, local boolean, n bigint, lowPrice double, highPrice double")
-    found = middle.groupBy(*traits).agg(F.max("local").alias("local"), F.max("n").alias("n"), (F.max("lowPrice") * 0.5 + F.max("highPrice") * 0.5).alias("median")).withColumnsRenamed({t: f"_{t}" for t in traits})
+
+    def filled(these: pa.Table, columns: Sequence[str], more: Mapping[str, tuple[Sequence, pa.DataType]]) -> pa.Table:
+        out = these.select(list(columns))
+        for name, (values, kind) in more.items():
+            out = out.append_column(name, pa.array(values, kind))
+        return out
+
+    def count(these: pa.Table, those: pa.Table) -> pa.Table:
+        n = these.num_rows if those.num_rows else 0
+        these = these.slice(0, n)
+        alone = n > 0 and these.column("chunks")[0].as_py() == 1
+        every, own, prices = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full((2, n), np.nan)
+        for at, met, near in Sales(those).met(these, low, high, years) if n else ():
+            every[at], own[at] = met.n, near.n if near else 0
+            if alone and met.n:
+                of = near if local and near and near.n >= fewest else met
+                prices[0, at], prices[1, at] = of.price_at(((of.n - 1) // 2, of.n // 2))
+        out = filled(these, [*traits, "slot", "chunks"], {"all": (every, pa.int64()), "own": (own, pa.int64()), "lowPrice": (prices[0], pa.float64()), "highPrice": (prices[1], pa.float64())})
+        return out.filter(pa.array(every > 0))
+
+    def look_up(these: pa.Table, those: pa.Table) -> pa.Table:
+        n = these.num_rows if those.num_rows else 0
+        these = these.slice(0, n)
+        by_district, lower, upper = (these.column(c).to_pylist() for c in ("local", "lower", "upper"))
+        prices = [(None, None)] * n
+        for at, met, near in Sales(those).met(these, low, high, years) if n else ():
+            for k in at.tolist():
+                prices[k] = (near if by_district[k] else met).price_at((lower[k], upper[k]))
+        return filled(these, [*traits, "local", "n"], {"lowPrice": ([p[0] for p in prices], pa.float64()), "highPrice": ([p[1] for p in prices], pa.float64())})
+
+    dealt = placed(wanted, "area", places.drop("bounds")).select(*traits, "chunks", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.pmod(F.xxhash64(*names), F.col("parts")).alias("part"), "no")
+    dealt = dealt.select(*traits, "chunks", slot(F.col("chunk"), F.col("part")).alias("slot")).repartition(tasks, "slot")
+    counted = dealt.groupBy("slot").cogroup(supply(offered, places)).applyInArrow(count, f"{kept}, slot bigint, chunks int, all bigint, own bigint, lowPrice double, highPrice double")
+    if large:
+        counted = write_table(counted, "counted").df
+    found = counted.withColumn("local", F.col("own") >= fewest if local else F.lit(False)).withColumn("n", F.when(F.col("local"), F.col("own")).otherwise(F.col("all")))
+    found = found.where("chunks = 1").select(*traits, "local", "n", "lowPrice", "highPrice")
+    if large:
+        item = Window.partitionBy(*traits)
+        before = item.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.where("chunks > 1").withColumn("local", F.sum("own").over(item) >= fewest if local else F.lit(False)).withColumn("here", F.when(F.col("local"), F.col("own")).otherwise(F.col("all")))
+        counted = counted.withColumns({"n": F.sum("here").over(item), "before": F.coalesce(F.sum("here").over(before), F.lit(0))})
+        place = lambda rank: F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("here")), rank - F.col("before")).otherwise(-1)
+        ranked = counted.withColumns({"lower": place(F.floor((F.col("n") - 1) / 2)), "upper": place(F.floor(F.col("n") / 2))}).where("lower >= 0 or upper >= 0")
+        ranked = ranked.select(*traits, "slot", "local", "n", "lower", "upper").repartition(tasks, "slot")
+        middle = ranked.groupBy("slot").cogroup(supply(of_large, places.where("chunks > 1"))).applyInArrow(look_up, f"{kept}, local boolean, n bigint, lowPrice double, highPrice double")
+        # the two middle ranks may lie in two chunks
+        found = found.unionByName(middle.groupBy(*traits).agg(F.max("local").alias("local"), F.max("n").alias("n"), F.max("lowPrice").alias("lowPrice"), F.max("highPrice").alias("highPrice")))
+    found = found.withColumn("median", F.col("lowPrice") * 0.5 + F.col("highPrice") * 0.5).withColumnsRenamed({t: f"_{t}" for t in traits})
     same = F.col("area") == F.col("_area")
     for n in names:
         same = same & F.col(n).eqNullSafe(F.col(f"_{n}"))

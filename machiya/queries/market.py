@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, LongType
 
@@ -212,9 +212,18 @@ def pair_scores(spark: SparkSession, folder: str) -> DataFrame:
 _CITY = "([^都道府県市区町村]{1,8}市)"
 
 
+def _number(c: str) -> Column:
+    """``lenient_number``; texts of digits alone, which most are, are read without its patterns.
+
+    For the others it stands in a function of an array: the code of three of them is too long to be compiled at run time.
+    """
+    plain = F.when(F.col(c).rlike("^[0-9]{1,18}$"), F.col(c).cast("double"))
+    return F.when(plain > 0, plain).otherwise(F.transform(F.array(c), text.lenient_number)[0])
+
+
 def _sales(spark: SparkSession, folder: str) -> DataFrame:
     t = table(spark, folder, "transactions")
-    return t.select(F.col("_cityName").alias("city"), text.lenient_number(F.col("TradePrice")).alias("price"), text.lenient_number(F.col("Area")).alias("land"), text.lenient_number(F.col("TotalFloorArea")).alias("building"), F.nullif(F.regexp_extract("BuildingYear", "((?:19|20)[0-9]{2})", 1), F.lit("")).cast("int").alias("year"), F.trim("DistrictName").alias("district"))
+    return t.select(F.col("_cityName").alias("city"), _number("TradePrice").alias("price"), _number("Area").alias("land"), _number("TotalFloorArea").alias("building"), F.nullif(F.regexp_extract("BuildingYear", "((?:19|20)[0-9]{2})", 1), F.lit("")).cast("int").alias("year"), F.trim("DistrictName").alias("district"))
 
 
 _ITEM = {"key": "propertyId", "land": "landAreaM2", "building": "buildingAreaM2", "year": "constructionYear"}

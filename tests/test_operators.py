@@ -197,6 +197,31 @@ def test_comparables_of_many_chunks_match_brute_force(spark, monkeypatch, chunk,
         assert got == want
 
 
+def test_comparables_meet_the_sales_of_a_small_area_once(spark, monkeypatch):
+    items = spark.range(20).selectExpr("id k", "if(id % 2 = 0, 'x', 'y') area", "100.0 + id l", "cast(null as double) b", "2000 y", "'北町' town")
+    sales = spark.range(90).selectExpr("if(id % 3 = 0, 'x', 'y') area", "if(id < 3, null, id - 3) p", "100.0 l", "80.0 b", "2001 y", "if(id % 5 = 0, '北町', '南町') d")
+    names = {"key": "k", "land": "l", "building": "b", "year": "y"}
+    run = lambda: joins.comparables(items, sales, "area", names, names, "p", 0.65, 1.35, 20, ("town", "d"))
+    df = run()
+    assert df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("FlatMapCoGroups") == 1  # counted and looked up at once
+    monkeypatch.setattr(joins, "SALES_CHUNK", 40)  # y has two chunks, x one
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, run().collect()))
+
+
+def test_sales_are_read_by_code_that_is_compiled(spark, tmp_path):
+    from machiya.functions import text
+    from machiya.queries import market
+
+    texts = ["12", "12.7", "1e5", "-5", "+5", " 7", "7 ", "1,200", "１２０", "0", "00", "9" * 18, "9" * 19, "9" * 30, "12d", "NaN", "", "-", "120㎡", "3.", ".5", "12\n", "約30", None]
+    t = spark.createDataFrame([("x", v, v, v, "1999年", "北町") for v in texts], "_cityName string, TradePrice string, Area string, TotalFloorArea string, BuildingYear string, DistrictName string")
+    t.write.parquet(f"{tmp_path}/transactions.parquet")
+    sales = market._sales(spark, str(tmp_path))
+    want = {r["c"]: r["n"] for r in t.select(F.col("Area").alias("c"), text.lenient_number(F.col("Area")).alias("n")).collect()}
+    assert sorted((r[0] for r in sales.select("land").collect()), key=repr) == sorted(want.values(), key=repr)
+    stages = sales._jdf.queryExecution().debug().codegenToSeq()
+    assert max(stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.size())) < 8000  # longer ones are interpreted
+
+
 def test_comparables_and_similar_rows_match_brute_force(spark):
     import random
     from statistics import median
